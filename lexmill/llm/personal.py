@@ -28,6 +28,7 @@ ROLES = (-2, -1, 0, 1, 2)
 _SEP = r"<>\"{}()\[\],;:!?«»“”…="
 TOKEN = re.compile(rf"[{_SEP}]|[^\W\d_]{{1,2}}['’]|[^\s{_SEP}.]+(?:\.+[^\s{_SEP}.]+)*|\.")
 CACHE = 200_000
+CLEAN_ROWS = 500
 _GIVEN = frozenset(g.lower() for g in table.GIVEN)
 
 
@@ -86,15 +87,24 @@ def tokens(text: str) -> list[tuple[int, int]]:
     return [(m.start(), m.end()) for m in TOKEN.finditer(text)]
 
 
-def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
-    m = x.max(axis, keepdims=True)
-    return (m + np.log(np.exp(x - m).sum(axis, keepdims=True))).squeeze(axis)
+class Gather:
+    """Sums rows by an index that stays the same over many calls."""
+
+    def __init__(self, index: np.ndarray, size: int):
+        self.order = np.argsort(index, kind="stable")
+        self.at, self.first = np.unique(index[self.order], return_index=True)
+        self.size = size
+
+    def sum(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.size, rows.shape[1]), rows.dtype)
+        out[self.at] = np.add.reduceat(rows[self.order], self.first)
+        return out
 
 
 @lru_cache(maxsize=2)
-def train(seed: int = 1, rounds: int = 70, rate: float = 0.12, decay: float = 2e-5) -> Crf:
-    """Fit on the labelled table. Words that occur on fewer than three lines of it get no feature of their own."""
-    rows = table.table(seed)
+def train(clean: tuple[str, ...] = (), seed: int = 1, rounds: int = 60, rate: float = 0.12, decay: float = 2e-5) -> Crf:
+    """Fit on the labelled table and on clean lines, which hold no personal information. Rare words get no feature of their own."""
+    rows = table.table(seed) + [(t, []) for t in clean]
     seqs, tags = [], []
     for text, spans in rows:
         t = tokens(text)
@@ -114,93 +124,91 @@ def train(seed: int = 1, rounds: int = 70, rate: float = 0.12, decay: float = 2e
             seen[f] = seen.get(f, 0) + 1
     vocabulary = {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= (6 if f[0] in "we" else 3)))}
     pairs = np.array([(t, vocabulary[f]) for t, fs in enumerate(feats) for f in fs if f in vocabulary])
-    order = sorted(range(len(seqs)), key=lambda i: -len(seqs[i]))
+    # Tokens lie packed by place, longest sequences first: place t of the sequences that reach it is one block.
+    order = sorted((i for i in range(len(seqs)) if seqs[i]), key=lambda i: -len(seqs[i]))
     size = np.array([len(seqs[i]) for i in order])
-    n, width = len(order), int(size.max())
+    n, width = len(order), int(size[0])
+    reach = [int((size > t).sum()) for t in range(width)]
+    off = np.cumsum([0, *reach])
+    blocks = [slice(off[t], off[t + 1]) for t in range(width)]
+    before = [slice(off[t - 1], off[t - 1] + reach[t]) for t in range(width)]
     pad = len(types)
     x = np.full((n, width + 4), pad, np.int64)
-    y = np.zeros((n, width), np.int64)
+    y = np.zeros(off[-1], np.int64)
     for r, i in enumerate(order):
         x[r, 2 : 2 + size[r]] = [types[w] for w in seqs[i]]
-        y[r, : size[r]] = tags[i]
-    live = np.arange(width)[None] < size[:, None]
-    params = [np.zeros((len(vocabulary), len(ROLES), K), np.float64), np.zeros((K, K)), np.zeros(K), np.zeros(K)]
+        y[off[: size[r]] + r] = tags[i]
+    near = [np.concatenate([x[: reach[t], 2 + t + d] for t in range(width)]) for d in ROLES]
+    end = off[size - 1] + np.arange(n)
+    real = np.float32
+    params = [np.zeros((len(vocabulary), len(ROLES), K), real), np.zeros((K, K), real), np.zeros(K, real), np.zeros(K, real)]
     for k in KINDS:  # an inside tag follows its own kind only
         i = TAGS.index(f"I-{k}")
         params[1][:, i] = params[2][i] = -8.0
         params[1][[i - 1, i], i] = 0.0
     moment, scale = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    rows_at, ends = np.arange(n), size - 1
-    onehot = np.eye(K)
+    gold = np.eye(K, dtype=real)[y]
+    step_gold = sum(gold[before[t]].T @ gold[blocks[t]] for t in range(1, width))
+    by_type = [Gather(at, len(types) + 1) for at in near]
+    by_pair, by_feature = Gather(pairs[:, 0], len(types) + 1), Gather(pairs[:, 1], len(vocabulary))
+    alpha, beta, norm = np.zeros((off[-1], K), real), np.zeros((off[-1], K), real), np.ones((off[-1], 1), real)
     for it in range(1, rounds + 1):
         w, step, first, last = params
-        types_score = np.zeros((len(types) + 1, len(ROLES), K))
-        np.add.at(types_score, pairs[:, 0], w[pairs[:, 1]])
-        e = sum(types_score[x[:, 2 + d : 2 + d + width], j] for j, d in enumerate(ROLES))
-        alpha, beta = np.empty((n, width, K)), np.zeros((n, width, K))
-        alpha[:, 0] = first + e[:, 0]
-        for t in range(1, width):
-            m = int((size > t).sum())
-            alpha[:m, t] = _log_sum(alpha[:m, t - 1, :, None] + step, 1) + e[:m, t]
-        beta[rows_at, ends] = last
-        for t in range(width - 2, -1, -1):
-            m = int((size > t + 1).sum())
-            beta[:m, t] = _log_sum(step + (e[:m, t + 1] + beta[:m, t + 1])[:, None, :], 2)
-        z = _log_sum(alpha[rows_at, ends] + last, 1)
-        prob = np.where(live[..., None], np.exp(np.minimum(alpha + beta - z[:, None, None], 0)), 0)
-        diff = np.where(live[..., None], onehot[y], 0) - prob
-        g_types = np.zeros_like(types_score)
-        for j, d in enumerate(ROLES):
-            np.add.at(g_types[:, j], x[:, 2 + d : 2 + d + width][live], diff[live])
-        g_w = np.zeros_like(w)
-        np.add.at(g_w, pairs[:, 1], g_types[pairs[:, 0]])
-        g_step = np.zeros((K, K))
-        for t in range(1, width):
-            m = int((size > t).sum())
-            pair = np.exp(np.minimum(alpha[:m, t - 1, :, None] + step + (e[:m, t] + beta[:m, t])[:, None, :] - z[:m, None, None], 0))
-            g_step -= pair.sum(0)
-            np.add.at(g_step, (y[:m, t - 1], y[:m, t]), 1)
-        grads = [g_w, g_step, diff[:, 0].sum(0), (onehot[y[rows_at, ends]] - prob[rows_at, ends]).sum(0)]
+        types_score = by_pair.sum(w[pairs[:, 1]].reshape(len(pairs), -1)).reshape(-1, len(ROLES), K)
+        e = sum(types_score[at, j] for j, at in enumerate(near))
+        e = np.exp(e - e.max(1, keepdims=True))
+        go, out = np.exp(step), np.exp(last)
+        for t, own in enumerate(blocks):
+            a = e[own] * (alpha[before[t]] @ go if t else np.exp(first))
+            norm[own] = a.sum(1, keepdims=True)
+            alpha[own] = a / norm[own]
+        beta[end] = out / (alpha[end] @ out)[:, None]
+        g_step = step_gold.copy()
+        for t in range(width - 1, 0, -1):
+            ahead = e[blocks[t]] * beta[blocks[t]] / norm[blocks[t]]
+            beta[before[t]] = ahead @ go.T
+            g_step -= (alpha[before[t]].T @ ahead) * go
+        diff = gold - alpha * beta
+        g_types = np.stack([g.sum(diff) for g in by_type], 1)
+        g_w = by_feature.sum(g_types[pairs[:, 0]].reshape(len(pairs), -1)).reshape(w.shape)
+        grads = [g_w, g_step, diff[blocks[0]].sum(0), diff[end].sum(0)]
         for p, g, a, b in zip(params, grads, moment, scale, strict=True):
             g = g / n - decay * p
             a += 0.1 * (g - a)
             b += 0.01 * (g * g - b)
-            p += rate * (a / (1 - 0.9**it)) / (np.sqrt(b / (1 - 0.99**it)) + 1e-8)
+            p += (rate * (a / (1 - 0.9**it)) / (np.sqrt(b / (1 - 0.99**it)) + 1e-8)).astype(real)
     w, step, first, last = (p.astype(np.float32) for p in params)
     return Crf(vocabulary, w, step, first, last)
 
 
-def viterbi(crf: Crf, emissions: list[np.ndarray], batch: int = 512) -> list[np.ndarray]:
-    """Best tag paths of sequences given their emission scores, in padded batches of similar length."""
-    out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(emissions)
-    order = sorted((i for i in range(len(emissions)) if len(emissions[i])), key=lambda i: -len(emissions[i]))
+def viterbi(crf: Crf, e: np.ndarray, begin: np.ndarray, size: np.ndarray, head: np.ndarray, tail: np.ndarray, batch: int = 1024) -> np.ndarray:
+    """Best tags of the sequences e[begin : begin + size], laid end to end; head and tail are the scores [sequence, tag] of beginning
+    and ending with a tag. Sequences of similar length are decoded together."""
+    out = np.zeros(int(size.sum()), np.int8)
+    at = np.cumsum(size) - size
+    order = np.argsort(-size, kind="stable")
     a = 0
     while a < len(order):
-        own = order[a : a + max(1, min(batch, 200_000 // len(emissions[order[a]])))]
+        own = order[a : a + max(1, min(batch, 200_000 // int(size[order[a]])))]
         a += len(own)
-        size = np.array([len(emissions[i]) for i in own])
-        width = int(size[0])
-        back = np.zeros((width, len(own), K), np.int8)
-        score = crf.first + np.stack([emissions[i][0] for i in own])
-        for t in range(1, width):
-            m = int((size > t).sum())
+        n, b = size[own], begin[own]
+        back = np.zeros((int(n[0]), len(own), K), np.int8)
+        score = head[own] + e[b]
+        for t in range(1, int(n[0])):
+            m = int(np.searchsorted(-n, -t))
             way = score[:m, :, None] + crf.step
-            best = way.argmax(1)
-            back[t, :m] = best
-            score[:m] = np.take_along_axis(way, best[:, None], 1)[:, 0] + np.stack([emissions[i][t] for i in own[:m]])
-        tag = (score + crf.last).argmax(1)
-        path = np.zeros((len(own), width), np.int8)
-        for t in range(width - 1, -1, -1):
-            m = int((size > t).sum())
-            path[:m, t] = tag[:m]
+            back[t, :m] = way.argmax(1)
+            score[:m] = way.max(1) + e[b[:m] + t]
+        tag = (score + tail[own]).argmax(1)
+        for t in range(int(n[0]) - 1, -1, -1):
+            m = int(np.searchsorted(-n, -t))
+            out[at[own[:m]] + t] = tag[:m]
             if t:
                 tag[:m] = back[t, np.arange(m), tag[:m]]
-        for r, i in enumerate(own):
-            out[i] = path[r, : size[r]]
     return out
 
 
-_AT = re.compile(r"@|\bat\b|\barobas", re.I)
+_AT = re.compile(r"\S ?@ ?\S|(?:[\[(]at[\])]|\bat\b|\barobas\w*).*(?:\.\w{2,}|\bdot\b|\bpoint\b)", re.I)
 _SUM = {"phone": 8, "id_number": 5}
 
 
@@ -215,81 +223,101 @@ def valid(kind: str, text: str) -> bool:
     return sum(c.isalpha() for c in text) >= 2
 
 
-class Tagger:
-    """Finds spans in batches of texts; scores of token types are kept for up to CACHE types."""
+class Tagger(dict):
+    """White-space chunk -> numbers of its token types, each with its score rows; forgotten beyond CACHE types. Finds spans."""
 
     def __init__(self, crf: Crf):
         self.crf = crf
         self._reset()
 
     def _reset(self) -> None:
+        self.clear()
         self.rows: dict[str, int] = {}
-        self.tokens: dict[str, tuple[int, ...]] = {}
-        self.scores = np.zeros((1024, len(ROLES), K), np.float32)
-
-    def _type(self, word: str) -> int:
-        n = self.rows.setdefault(word, len(self.rows) + 1)
-        if n == len(self.scores):
-            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-        self.scores[n] = self.crf.row(word)
-        return n
-
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
-        got = tuple(self.rows.get(w) or self._type(w) for w in TOKEN.findall(chunk))
-        self.tokens[chunk] = got
+        self.scores = np.zeros((len(ROLES), 1024, K), np.float32)
+
+    def __missing__(self, chunk: str) -> tuple[int, ...]:
+        out = []
+        for word in TOKEN.findall(chunk):
+            if not (n := self.rows.get(word)):
+                n = self.rows[word] = len(self.rows) + 1
+                if n == self.scores.shape[1]:
+                    self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)], 1)
+                self.scores[:, n] = self.crf.row(word)
+            out.append(n)
+        self[chunk] = got = tuple(out)
         return got
 
+    def _islands(self, ids: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and sizes of the stretches outside of which no best path leaves O: a stretch of other tags must gain on the outside
+        path, and its gain is at most the sum of the bounds of its tokens."""
+        gain = ((e[:, 1:] - e[:, :1]) + self.crf.slack[1:]).max(1).astype(np.float64)
+        gain[ids == 0] = -1e4
+        total = np.concatenate([[0.0], np.cumsum(gain)])
+        forth = total[1:] - np.minimum.accumulate(total[:-1])
+        back = np.maximum.accumulate(total[:0:-1])[::-1] - total[:-1]
+        hot = np.concatenate([[False], (forth + back - gain > 0) & (ids > 0), [False]])
+        edge = np.flatnonzero(hot[1:] != hot[:-1])
+        return edge[::2], edge[1::2] - edge[::2]
+
     def spans(self, texts: list[str | None]) -> list[list[tuple[int, int, str]]]:
         """(start, end, kind) of each text in order."""
-        if len(self.rows) > CACHE or len(self.tokens) > 2 * CACHE:
+        if len(self.rows) > CACHE or len(self) > 2 * CACHE:
             self._reset()
-        known, learn = self.tokens, self._chunk
-        flat: list[int] = [0, 0]
+        look, flat = self.__getitem__, [0, 0]
         lines: list[tuple[int, int, str]] = []  # text, offset in it, line
         begin: list[int] = []
         for n, text in enumerate(texts):
             if text:
                 at = 0
                 for line in text.split("\n"):
-                    chunks = line.split()
-                    if chunks:
+                    if chunks := line.split():
                         lines.append((n, at, line))
                         begin.append(len(flat))
-                        flat.extend(chain.from_iterable([known[c] if c in known else learn(c) for c in chunks]))
+                        flat.extend(chain.from_iterable(map(look, chunks)))
                         flat += (0, 0)
                     at += len(line) + 1
         out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
         if not lines:
             return out
-        ids, start = np.array([*flat, 0, 0], np.int32), np.array(begin)
-        e = self.scores[ids[2:-2], 2]
-        for j, d in enumerate(ROLES):
-            if d:
-                e += self.scores[ids[2 + d : len(ids) - 2 + d], j]
-        over = ((e[:, 1:] - e[:, :1]) + self.crf.slack[1:]).max(1) > 0
-        over &= ids[2:-2] > 0
-        hot = np.flatnonzero(np.add.reduceat(over, start - 2) > 0)
-        stop = np.append(start[1:], len(flat)) - 2
-        paths = viterbi(self.crf, [e[start[h] - 2 : stop[h] - 2] for h in hot])
-        for h, path in zip(hot.tolist(), paths, strict=True):
-            if path.any():
-                n, at, line = lines[h]
-                place = [(c.start() + m.start(), c.start() + m.end()) for c in re.finditer(r"\S+", line) for m in TOKEN.finditer(c.group())]
-                i = 0
-                while i < len(path):
-                    tag = int(path[i])
-                    j = i + 1
-                    if tag:
-                        kind = (tag - 1) // 2
-                        while j < len(path) and path[j] == 2 * kind + 2:
-                            j += 1
-                        a, z = place[i][0], place[j - 1][1]
-                        if valid(KINDS[kind], line[a:z]):
-                            out[n].append((at + a, at + z, KINDS[kind]))
-                    i = j
+        ids = np.array(flat, np.int32)
+        wide = np.concatenate([[0, 0], ids, [0, 0]])
+        e = sum(self.scores[j].take(wide[2 + d : 2 + d + len(ids)], 0) for j, d in enumerate(ROLES))
+        first, size = self._islands(ids, e)
+        opens, closes = ids[first - 1] == 0, ids[first + size] == 0
+        crf = self.crf
+        tags = viterbi(crf, e, first, size, np.where(opens[:, None], crf.first, crf.step[0]), np.where(closes[:, None], crf.last, crf.step[:, 0]))
+        places = np.repeat(first - np.cumsum(size) + size, size) + np.arange(len(tags))
+        some = np.flatnonzero(tags)
+        line_of = np.searchsorted(np.array(begin), places[some], "right") - 1
+        k = 0
+        while k < len(some):
+            h = int(line_of[k])
+            n, at, line = lines[h]
+            place = [(c.start() + m.start(), c.start() + m.end()) for c in re.finditer(r"\S+", line) for m in TOKEN.finditer(c.group())]
+            while k < len(some) and line_of[k] == h:
+                i = int(places[some[k]]) - begin[h]
+                kind = (int(tags[some[k]]) - 1) // 2
+                j = i
+                k += 1
+                while k < len(some) and line_of[k] == h and places[some[k]] - begin[h] == j + 1 and tags[some[k]] == 2 * kind + 2:
+                    j, k = j + 1, k + 1
+                a, z = place[i][0], place[j][1]
+                if valid(KINDS[kind], line[a:z]):
+                    out[n].append((at + a, at + z, KINDS[kind]))
         return out
 
 
+def mask(text: str | None, spans: list[tuple[int, int, str]]) -> str | None:
+    """The text with [EMAIL], [PHONE], [ID_NUMBER], [ADDRESS], [NAME] in the place of spans."""
+    if not text or not spans:
+        return text
+    out, at = [], 0
+    for a, z, kind in spans:
+        out += [text[at:a], f"[{kind.upper()}]"]
+        at = z
+    return "".join([*out, text[at:]])
+
+
 def _find(crf: Crf, masked: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(crf)
@@ -308,25 +336,20 @@ def _find(crf: Crf, masked: bool):
     return run
 
 
-def mask(text: str | None, spans: list[tuple[int, int, str]]) -> str | None:
-    """The text with [EMAIL], [PHONE], [ID_NUMBER], [ADDRESS], [NAME] in the place of spans."""
-    if not text or not spans:
-        return text
-    out, at = [], 0
-    for a, z, kind in spans:
-        out += [text[at:a], f"[{kind.upper()}]"]
-        at = z
-    return "".join([*out, text[at:]])
+def clean_lines(*texts: DataFrame, limit: int = CLEAN_ROWS) -> tuple[str, ...]:
+    """Lines of the column text of tables known to hold no personal information; at most limit rows of each."""
+    rows = [r.text for t in texts for r in t.select("text").where("text is not null").orderBy("text").limit(limit).collect()]
+    return tuple(x for t in rows for x in t.split("\n") if x.strip())
 
 
-def find(docs: DataFrame) -> DataFrame:
+def find(docs: DataFrame, clean: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, kind, start_pos, end_pos (code points), found: one row per span; no shuffle. docs: doc_id, text; other columns are
     ignored. Null and empty texts give none; a repeated doc_id gives its spans as often."""
     bounded_batches(docs.sparkSession, rows=1024, mb=4)
-    return docs.select("doc_id", "text").mapInArrow(_find(train(), False), "doc_id bigint, kind string, start_pos bigint, end_pos bigint, found string")
+    return docs.select("doc_id", "text").mapInArrow(_find(train(clean), False), "doc_id bigint, kind string, start_pos bigint, end_pos bigint, found string")
 
 
-def redact(docs: DataFrame) -> DataFrame:
+def redact(docs: DataFrame, clean: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text with typed placeholders, n_found. Null text stays null."""
     bounded_batches(docs.sparkSession, rows=1024, mb=4)
-    return docs.select("doc_id", "text").mapInArrow(_find(train(), True), "doc_id bigint, text string, n_found int")
+    return docs.select("doc_id", "text").mapInArrow(_find(train(clean), True), "doc_id bigint, text string, n_found int")

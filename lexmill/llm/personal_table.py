@@ -19,7 +19,7 @@ GIVEN = (
     "Olivier Oscar Pablo Paul Pedro Perrine Peter Pierre Quentin Rita Romane Sabine Sofia Solène Sophie Thibault Thomas Tiago Ursula Ursule Victor Yasmine Zoé"
 ).split()
 # Forms of address in the six languages.
-TITLES = "M. Mme Mlle Monsieur Madame Mademoiselle Dr Dr. Docteur Pr Prof. Me Mr Mrs Ms Miss Herr Frau Sr. Sra. Don Doña Sig. Sig.ra Dott. Dott.ssa Dra. Senhor Senhora Dª".split()
+TITLES = "M. Mme Mlle Monsieur Madame Mademoiselle Dr Dr. Docteur Pr Prof. Me Mr Mrs Ms Miss Herr Frau Sr. Sra. Don Doña doña Sig. Sig.ra Dott. Dott.ssa Dra. Senhor Senhora Dª".split() + ["Frau Dr.", "Herr Dr.", "Herr Prof.", "Mme le Dr", "Prof. Dr.", "Frau Prof."]
 
 LINES = """
 Signé : {T}{N}
@@ -83,6 +83,13 @@ Ligue para {P}.
 Call {P} for advice.
 Bonjour, c'est {T}{N}, vous pouvez me rappeler au {P} après 18 h.
 (pas de réponse au {P})
+(pas de réponse au {P}, rappeler {T}{N})
+Reach me at {E} thanks
+Reach me at {P} or write to {E}.
+Call {T}{N} on {P} or write to {E}.
+Écrire à {E}
+Courriel : {E}
+{T}{N} ({E})
 Pour toute question, écrire à {E} ou appeler le {P}.
 merci de répondre sur {E} svp
 Mail : {E}
@@ -218,6 +225,34 @@ En {D}, le {d} {d} oriente le {d} {d}, à condition d'un {d} {d}.
 Sin signos de alarma, el {d} {d} sustituye el {d} {d}.
 Na ausência de febre, a {d} {d} acompanha o {d} {d}.
 Nonostante una buona aderenza, il {d} {d} esclude il {d} {d}.
+With enough hindsight, the planned {d} limits the {d} {d}, without sequelae at one year.
+During follow-up, the early {d} requires the {d} {d} under nursing supervision.
+Despite good adherence, the transient {d} reinforces the {d} {d}, even on night shifts.
+Within the network, {d} at {k} mg explains the {d} {d} as long as stocks allow.
+At home, the {d} {d} completes the {d} {d} if the pain persists, as the charts confirm.
+A qualsiasi età, la {d} {d} rivela il {d} {d} senza segni di allarme.
+A domicilio, la {d} {d} conferma l'{d} {d}, anche se l'{d} {d} previene il {d}.
+Indicazioni : Prima di decidere, il {d} {d} orienta la {d} {d}.
+Meine Ärztin sagt, die {d} {D} rechtfertigt die {d} {D}, stimmt das?
+Am dritten Tag lenkt die {d} {D} die {d} {D} trotz guter {D}.
+Unter pflegerischer Aufsicht ergänzt die {d} {D} die {d} {D}.
+Bei gebrechlichen Personen zeigt die {d} {D} die {d} {D} schon in den ersten Stunden.
+Indicações : A {d} {d} atrasa o {d} {d} mesmo no turno da noite.
+A recaída {d} explica a {d} {d} em cerca de um em cada três casos.
+A médica diz que a {d} {d} melhora o {d} {d}, é verdade?
+En este servicio, la {d} {d} confirma la {d} {d} bajo supervisión de enfermería, y el {d} {d} limita la {d}.
+Indicaciones : Al alta, el {d} {d} reemplaza la {d} {d}, incluso en el turno de noche.
+La posologie {d} limite le {d} {d}, même en garde de nuit.
+Effets possibles : l'{d} {d}, le {d} {d} ou la {d} {d}.
+l&#39;{d} {d} mod&eacute;r&eacute;e modifie le {d} &amp; le {d}
+Bonjour à toutes, depuis {k} semaines la {d} {d} me gâche la vie.
+Franchement la {d} {d} repose sur la {d} {d}, enfin c'est mon ressenti.
+J'ai arrêté {d} au bout de {k} jours car le {d} {d} me faisait peur.
+Courage à vous, chez moi le {d} {d} a disparu en {k} jours !
+Merci pour vos réponses, le {d} {d} va mieux avec un recul suffisant.
+Je précise que j'ai {k} ans et que le {d} {d} date de l'an passé.
+Il {d} {d} {d} il {d} {d} in assenza di febbre, il che resta discusso.
+O {d} {d} {d} o {d} {d} na ausência de febre, o que continua em discussão.
 """.strip().splitlines()
 
 _ONSET = "b c d f g l m n p r s t v br ch dr fl gr pr tr h j k qu".split()
@@ -242,7 +277,7 @@ def name(r: random.Random, titled: bool) -> str:
     given, last = r.choice(GIVEN), surname(r)
     part = r.choice(["de ", "de ", "du ", "van ", "von ", "da ", "di "]) if r.random() < 0.12 else ""
     forms = [f"{given} {part}{last}"] * 6 + [f"{last.upper()} {given}"] * 3 + [f"{given} {last.upper()}", f"{given.upper()} {part.upper()}{last.upper()}", f"{last}, {given}", f"{last}, {given}", f"{part}{last.upper()} {given}"]
-    forms += [f"{given[0]}. {part}{last}"] * (4 if titled else 2) + [f"{part}{last}"] * (7 if titled else 0) + ([] if titled else [f"{given} {part}{last}".lower()] * 4)
+    forms += [f"{given[0]}. {part}{last}"] * (4 if titled else 2) + [f"{part}{last}"] * (13 if titled else 0) + ([] if titled else [f"{given} {part}{last}".lower()] * 4)
     return r.choice(forms)
 
 
@@ -251,7 +286,7 @@ def email(r: random.Random) -> str:
     user = r.choice([f"{g}.{s}", f"{g}_{s}", f"{g[0]}.{s}", f"{g}+suivi", f"{s}{r.randrange(10, 99)}", f"secretariat.{s}", f"{g}{s}", s])
     host, top = r.choice([_coin(r, 3), f"{_coin(r, 2)}-{_coin(r, 2)}", f"mail.{_coin(r, 2)}"]), r.choice(["example", "test", "invalid", "fr", "com", "org", "de", "it"])
     out = r.choice([f"{user}@{host}.{top}"] * 6 + [f"{user} @ {host}.{top}", f"{user} [at] {host}.{top}", f"{user} (at) {host}.{top}", f"{user} (at) {host} (dot) {top}", f"{user} AT {host} DOT {top}", f"{user} arobase {host} point {top}", f"{user}[at]{host}.{top}", f"{user} at {host} dot {top}"])
-    return out.upper() if r.random() < 0.08 and "@" in out else out
+    return out.upper() if r.random() < 0.12 and "@" in out else out
 
 
 def phone(r: random.Random) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexmill.functions.rows import read
-from lexmill.llm import cutoffs, mixing, packing, splitting, token_budget
+from lexmill.llm import cutoffs, language, leakage, mixing, packing, personal, repetition, splitting, token_budget
 
 
 def _mix(spark, d):
@@ -24,6 +24,18 @@ def p1_shares(spark, d):
     return _mix(spark, d)[1]
 
 
+def _repetition(spark, d):
+    return repetition.repetition(read(spark, d, "rewrite_output"), read(spark, d, "generate_output"))
+
+
+def p2_found(spark, d):
+    return _repetition(spark, d).where(F.col("share") >= repetition.SHARE).select("record_table", "row_id").distinct()
+
+
+def p2_repetition(spark, d):
+    return _repetition(spark, d)
+
+
 def p3_token_budget(spark, d):
     return token_budget.token_budget(read(spark, d, "scored_docs"), read(spark, d, "token_pieces"))
 
@@ -56,6 +68,18 @@ def p5_pieces(spark, d):
     return splitting.split(read(spark, d, "split_input"))
 
 
+def _passages(spark, d):
+    return language.passages(read(spark, d, "extract_input"), read(spark, d, "lang_samples"))
+
+
+def p6_found(spark, d):
+    return language.mislabelled(_passages(spark, d))
+
+
+def p6_passages(spark, d):
+    return _passages(spark, d)
+
+
 def p7_found(spark, d):
     return p7_containers(spark, d).where("pieces > 1").select("doc_id").distinct()
 
@@ -64,5 +88,25 @@ def p7_containers(spark, d):
     return packing.pack(read(spark, d, "documents"), read(spark, d, "token_pieces"))
 
 
+def p8_found(spark, d):
+    return p8_leaks(spark, d).select("doc_id", "item_id").distinct()
+
+
+def p8_leaks(spark, d):
+    return leakage.leaks(read(spark, d, "documents"), read(spark, d, "eval_items"))
+
+
+def _clean(spark, d):
+    return personal.clean_lines(read(spark, d, "lang_samples"), read(spark, d, "eval_items"))
+
+
+def p9_found(spark, d):
+    return personal.find(read(spark, d, "documents"), _clean(spark, d)).select("doc_id", "kind", "start_pos").distinct()
+
+
+def p9_redacted(spark, d):
+    return personal.redact(read(spark, d, "documents"), _clean(spark, d))
+
+
 def queries():
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1].isdigit()}
