@@ -6,10 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The white space code points of str.split(), as a character class body for Java and for RE2.
-WS = r"\t-\r\x1c-\x20\x85\xa0  -     　"
+WS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WS_RE2 = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 # The line ends of str.splitlines().
-LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
+LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 WORD = f"[^{WS}]+"
 WORD_RE2 = f"[^{WS_RE2}]+"
 # The innermost-three-levels JSON object, with possessive quantifiers so that Java's matcher cannot overflow.
