@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexmill.functions import json
 from lexmill.functions.text import LINE_END, WS, squeeze, strip
@@ -20,7 +21,7 @@ TOPICS = (
 )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def without_accents(s: pd.Series) -> pd.Series:
     """NFKD without combining marks; Spark has no built-in for it."""
     return s.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)))
@@ -131,7 +132,7 @@ def _align(text: str, entities: list[tuple[str, str]]) -> list[tuple[int, int, s
     return out
 
 
-@F.pandas_udf("array<struct<start: int, end: int, label: string>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("label", T.StringType())])))
 def align_entities(text: pd.Series, entities: pd.Series) -> pd.Series:
     """Token spans (inclusive) of entities, an array<struct<label, entity>>; stateful per document, hence a UDF."""
     get = lambda e: [(x["label"], x["entity"]) for x in e if x and x["label"] and x["entity"]] if e is not None else []
