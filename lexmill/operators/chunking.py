@@ -18,7 +18,7 @@ SEPARATORS = (r"\n{2,}", r"\n", r"(?<=[.!?;])\s+", r"\s+")
 
 class Tokenizer(Protocol):
     def encode(self, text: str) -> list: ...
-    def decode(self, ids: Sequence) -> str: ...
+    def decode(self, ids: Sequence) -> str: ...  # an optional count(text) saves encoding where only the size matters
 
 
 class CharTokenizer:
@@ -27,6 +27,9 @@ class CharTokenizer:
     def encode(self, text: str) -> list[str]:
         return list(text)
 
+    def count(self, text: str) -> int:
+        return len(text)
+
     def decode(self, ids: Sequence[str]) -> str:
         return "".join(ids)
 
@@ -37,6 +40,9 @@ class WordTokenizer:
     def encode(self, text: str) -> list[str]:
         return text.split()
 
+    def count(self, text: str) -> int:
+        return len(text.split())
+
     def decode(self, ids: Sequence[str]) -> str:
         return " ".join(ids)
 
@@ -51,8 +57,10 @@ def recursive_split(text: str, limit: int, tokenizer: Tokenizer, separators: Seq
     """Chunks of at most limit tokens: parts at the coarsest separator, oversized ones by the finer ones, neighbours joined while they
     fit; what no separator divides is sliced by tokens. Texts within the limit, and empty ones, come back whole."""
 
+    count = getattr(tokenizer, "count", None) or (lambda t: len(tokenizer.encode(t)))
+
     def fits(t: str) -> bool:
-        return len(t.split()) <= limit and len(tokenizer.encode(t)) <= limit
+        return len(t.split()) <= limit and count(t) <= limit
 
     if fits(text):
         return [text]
