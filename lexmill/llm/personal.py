@@ -209,6 +209,7 @@ def viterbi(crf: Crf, e: np.ndarray, begin: np.ndarray, size: np.ndarray, head:
 
 
 _AT = re.compile(r"\S ?@ ?\S|(?:[\[(]at[\])]|\bat\b|\barobas\w*).*(?:\.\w{2,}|\bdot\b|\bpoint\b)", re.I)
+_EDGE = " ,;:.\"'<>"
 _SUM = {"phone": 8, "id_number": 5}
 
 
@@ -223,6 +224,14 @@ def valid(kind: str, text: str) -> bool:
     return sum(c.isalpha() for c in text) >= 2
 
 
+def joined(kind: str, one: str, between: str, two: str) -> bool:
+    """Whether two neighbouring spans are one: a street and the post code on the next line, a surname and the given name after its
+    comma, a particle and its name."""
+    if kind == "address":
+        return not between.strip(" \t\r\n,-") and bool(re.match(r"\d{4,5}\b", two))
+    return kind == "name" and len(between) < 3 and ((between.strip() == "," and " " not in one and " " not in two and two.lower() in _GIVEN) or (between == " " and one.split()[-1].islower() and len(one.split()[-1]) < 4))
+
+
 class Tagger(dict):
     """White-space chunk -> numbers of its token types, each with its score rows; forgotten beyond CACHE types. Finds spans."""
 
@@ -302,7 +311,11 @@ class Tagger(dict):
                 while k < len(some) and line_of[k] == h and places[some[k]] - begin[h] == j + 1 and tags[some[k]] == 2 * kind + 2:
                     j, k = j + 1, k + 1
                 a, z = place[i][0], place[j][1]
-                if valid(KINDS[kind], line[a:z]):
+                a, z = a + len(line[a:z]) - len(line[a:z].lstrip(_EDGE)), z - len(line[a:z]) + len(line[a:z].rstrip(_EDGE))
+                last = out[n][-1] if out[n] else None
+                if last and last[2] == KINDS[kind] and joined(KINDS[kind], texts[n][last[0] : last[1]], texts[n][last[1] : at + a], line[a:z]):
+                    out[n][-1] = (last[0], at + z, last[2])
+                elif valid(KINDS[kind], line[a:z]):
                     out[n].append((at + a, at + z, KINDS[kind]))
         return out
 

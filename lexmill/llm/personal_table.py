@@ -16,7 +16,7 @@ GIVEN = (
     "Adèle Alice Amélie Ana Anna Antoine Bastien Camille Carla Carlos Chiara Clara Clarisse Claire Damien David Diego Élodie Elena Emma Eric "
     "Fabrice Félix Gaëlle Giulia Hans Heidi Helena Hugo Inês Inès Isabelle Jan Jean Jean-Noël João Jonas Jorge José Juan Julia Julien Karine Karl "
     "Klaus Laura Léa Louis Luc Luca Lucas Lucía Luisa Manon Manuel Marco Maria Marie Marie-Line Mario Marta Martin Michel Miguel Nadia Nicolas Noémie "
-    "Olivier Oscar Pablo Paul Pedro Perrine Peter Pierre Quentin Rita Romane Sabine Sofia Solène Sophie Thibault Thomas Tiago Ursula Ursule Victor Yasmine Zoé"
+    "Olivier Oscar Pablo Paul Pedro Perrine Peter Pierre Quentin Rita Romane Sabine Sofia Emily Oliver Harry Charlotte William George Kate John Mary James Sarah Robert Solène Sophie Thibault Thomas Tiago Ursula Ursule Victor Yasmine Zoé"
 ).split()
 # Forms of address in the six languages.
 TITLES = "M. Mme Mlle Monsieur Madame Mademoiselle Dr Dr. Docteur Pr Prof. Me Mr Mrs Ms Miss Herr Frau Sr. Sra. Don Doña doña Sig. Sig.ra Dott. Dott.ssa Dra. Senhor Senhora Dª".split() + ["Frau Dr.", "Herr Dr.", "Herr Prof.", "Mme le Dr", "Prof. Dr.", "Frau Prof."]
@@ -251,6 +251,30 @@ J'ai arrêté {d} au bout de {k} jours car le {d} {d} me faisait peur.
 Courage à vous, chez moi le {d} {d} a disparu en {k} jours !
 Merci pour vos réponses, le {d} {d} va mieux avec un recul suffisant.
 Je précise que j'ai {k} ans et que le {d} {d} date de l'an passé.
+- TA {k} mmHg, FC {k}/min, le {d} {d} stable.
+TA {k} mmHg, FC {k}/min, l'{d} {d} stable.
+Patient, {k} Jahre alt, die {d} {D}, behandelt mit {d} {k} mg alle acht Stunden.
+Patient, {k} Jahre alt, behandelt mit {d} {k} mg vor dem {D}.
+Com {d}, a {d} {d} favorece o {d} {d}.
+Com {d}, o {d} {d} sugere a {d}.
+Chez l'enfant, le {d} {d} oriente la {d}.
+Chez la femme enceinte, {d} à {k} mg précise la {d} {d}.
+Sous {d}, la {d} {d} améliore le {d} {d}.
+Il segno di {S} giustifica la {d} {d}.
+La sindrome di {S} precisa la {d}.
+A escala de {S} sugere a {d} {d}.
+La scala di {S} orienta il {d}.
+La escala de {S} precisa la {d}.
+Die {S}-Skala zeigt die {d} {D}.
+Posologia
+Metodi
+Antecedentes
+Advertencias
+Ergebnisse
+Indicazioni
+Conclusões
+Methods
+Bonnes pratiques
 Il {d} {d} {d} il {d} {d} in assenza di febbre, il che resta discusso.
 O {d} {d} {d} o {d} {d} na ausência de febre, o que continua em discussão.
 """.strip().splitlines()
@@ -276,7 +300,7 @@ def surname(r: random.Random) -> str:
 def name(r: random.Random, titled: bool) -> str:
     given, last = r.choice(GIVEN), surname(r)
     part = r.choice(["de ", "de ", "du ", "van ", "von ", "da ", "di "]) if r.random() < 0.12 else ""
-    forms = [f"{given} {part}{last}"] * 6 + [f"{last.upper()} {given}"] * 3 + [f"{given} {last.upper()}", f"{given.upper()} {part.upper()}{last.upper()}", f"{last}, {given}", f"{last}, {given}", f"{part}{last.upper()} {given}"]
+    forms = [f"{given} {part}{last}"] * 6 + [f"{last.upper()} {given}"] * 3 + [f"{given} {last.upper()}", f"{given.upper()} {part.upper()}{last.upper()}", f"{last}, {given}", f"{last}, {given}", f"{last}, {given}", f"{part}{last}, {given}", f"{part}{last.upper()} {given}"]
     forms += [f"{given[0]}. {part}{last}"] * (4 if titled else 2) + [f"{part}{last}"] * (13 if titled else 0) + ([] if titled else [f"{given} {part}{last}".lower()] * 4)
     return r.choice(forms)
 
@@ -351,17 +375,29 @@ def fill(line: str, r: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
     return "".join(out), spans
 
 
+def _varied(text: str, spans: list, r: random.Random) -> tuple[str, list]:
+    """A sentence without labels in capitals, with typographic apostrophes or without accents now and then."""
+    u = r.random()
+    if u < 0.06:
+        text = text.upper()
+    elif u < 0.14:
+        text = text.replace("'", "’")
+    elif u < 0.2:
+        text = text.translate(str.maketrans("éèêàùôîçãõñáíóúüöä", "eeeauoicaonaiouuoa"))
+    return text, spans
+
+
 def table(seed: int = 1, each: int = 16) -> list[tuple[str, list[tuple[int, int, str]]]]:
     """Filled lines, some joined to one line as they are in running text."""
     r = random.Random(seed)
-    single = [fill(x, r) for x in LINES for _ in range(each)] + [fill(x, r) for x in PLAIN for _ in range(each)]
+    single = [fill(x, r) for x in LINES for _ in range(each)] + [_varied(*fill(x, r), r) for x in PLAIN for _ in range(each)]
     r.shuffle(single)
     rows, i = [], 0
     while i < len(single):
         n = r.choice([1, 1, 2, 3])
-        text, spans = "", []
+        text, spans = r.choice(["", "", "", "", "", "- "]), []
         for t, s in single[i : i + n]:
-            text += " " * bool(text)
+            text += " " * bool(text and text[-1] != " ")
             spans += [(a + len(text), z + len(text), k) for a, z, k in s]
             text += t
         rows.append((text, spans))
