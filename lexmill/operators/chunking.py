@@ -98,13 +98,11 @@ def split_documents(df: DataFrame, limit: int, make: Callable[[], Tokenizer] = W
 
 def word_windows(text: Column, n: int) -> Column:
     """Non-overlapping windows of n words, joined by single spaces."""
-    w = words(text)
-    starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(w) / n).cast("int") - 1, F.lit(0)))
-    return F.transform(starts, lambda i: F.array_join(F.slice(w, i * n + 1, n), " "))
+    cut = lambda w: F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(w) / n).cast("int") - 1, F.lit(0))), lambda i: F.array_join(F.slice(w, i * n + 1, n), " "))
+    return F.element_at(F.transform(F.array(words(text)), cut), 1)  # binds the words, which an inner lambda would split again each time
 
 
 def middle_words(text: Column, n: int) -> Column:
     """The n words in the middle; the whole text's words if there are no more."""
-    w = words(text)
-    start = F.greatest(F.floor((F.size(w) - n) / 2).cast("int"), F.lit(0))
-    return F.array_join(F.slice(w, start + 1, n), " ")
+    cut = lambda w: F.array_join(F.slice(w, F.greatest(F.floor((F.size(w) - n) / 2).cast("int"), F.lit(0)) + 1, F.lit(n)), " ")
+    return F.element_at(F.transform(F.array(words(text)), cut), 1)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexmill.functions.text import words
 from lexmill.operators.model_output import without_accents
-from lexmill.session import cut_lineage
+from lexmill.session import bounded_batches, cut_lineage
 
 SHINGLE, BANDS, ROWS, SIMILARITY = 5, 14, 8, 0.8
 
@@ -21,17 +24,34 @@ def exact(df: DataFrame, field: str, key: str, seed: int = 42) -> DataFrame:
     return df.join(keep.select(F.col("_k").alias(key)), key, "left_semi")
 
 
-def shingles(text: Column, n: int = SHINGLE) -> Column:
-    """Distinct hashes of n-word runs of the lower-cased words; a shorter text is one shingle, a blank one has none."""
-    w = F.transform(words(F.lower(F.regexp_replace(text, r"[\p{Punct}«»“”’…]+", " "))), lambda x: x)
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(w, i, n), " ")))
-    return F.when(F.size(w) > 0, F.array_distinct(runs))
+def word_hashes(text: Column) -> Column:
+    """Hashes of the lower-cased words without punctuation, in order; null for null text."""
+    return F.transform(words(F.lower(F.regexp_replace(text, r"[\p{Punct}«»“”’…]+", " "))), lambda w: F.xxhash64(w))
 
 
-def signature(sh: Column, n: int = BANDS * ROWS) -> Column:
-    """n minima of seeded hashes over the shingles, without leaving the JVM."""
-    seeds = F.sequence(F.lit(1), F.lit(n))
-    return F.transform(seeds, lambda s: F.array_min(F.transform(sh, lambda x: F.xxhash64(x, s))))
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def signature(hashes: pd.Series) -> pd.Series:
+    """BANDS * ROWS minima of seeded hashes over all runs of SHINGLE words; a shorter text is one run, one without words has none. In
+    numpy, because Spark interprets lambdas, and one inside another re-evaluates what it refers to."""
+    mult = np.random.default_rng(7).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def one(row) -> np.ndarray | None:
+        if row is None or not len(row):
+            return None
+        x = np.asarray(row).astype(np.int64).view(np.uint64)
+        size = min(SHINGLE, len(x))
+        with np.errstate(over="ignore"):
+            run = np.zeros(len(x) - size + 1, np.uint64)
+            for k in range(size):
+                run = (run ^ x[k : len(x) - size + 1 + k]) * mult[k]
+                run ^= run >> np.uint64(31)
+            low = np.full(len(mult), np.iinfo(np.uint64).max, np.uint64)
+            for i in range(0, len(run), 4096):
+                h = run[i : i + 4096, None] * mult
+                low = np.minimum(low, ((h ^ (h >> np.uint64(32))) * mult[::-1]).min(0))
+        return low.view(np.int64)
+
+    return hashes.map(one)
 
 
 def near_duplicates(df: DataFrame, key: str, text: str, similarity: float = SIMILARITY, rounds: int = 30) -> DataFrame:
@@ -41,7 +61,8 @@ def near_duplicates(df: DataFrame, key: str, text: str, similarity: float = SIMI
     against the band's least node is tried again against the next least one until none is left."""
     folded = df.select(key, F.xxhash64(text).alias("_t"), F.length(text).alias("_l"), F.col(text).alias("_x"))
     node = folded.groupBy("_t", "_l").agg(F.min(key).alias("node"), F.min_by("_x", key).alias("_x"))
-    signed = cut_lineage(node.select("node", signature(shingles(F.col("_x"))).alias("sig")).where("sig is not null"))
+    bounded_batches(df.sparkSession, rows=1024)
+    signed = cut_lineage(node.select("node", signature(word_hashes(F.col("_x"))).alias("sig")).where("sig is not null"))
     band = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.slice("sig", b * ROWS + 1, ROWS)))).alias("band", "h")
     left = signed.select("node", "sig", band)
     links = None

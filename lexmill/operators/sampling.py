@@ -27,11 +27,11 @@ def _threshold_rank(df: DataFrame, strata: Sequence[str], key: str, quotas: Data
     bucket = F.shiftrightunsigned(h.bitwiseXOR(F.lit(-(2**63))), 52)  # in the order of the signed hash
     keyed = df.withColumns({"_h": h, "_b": bucket})
     hist = keyed.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    joined = hist.join(quotas, list(strata)) if strata else hist.crossJoin(quotas.limit(1))
+    joined = hist.join(bounded_broadcast(quotas), list(strata))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     edge = joined.withColumn("_before", before).where("_before < _quota").groupBy(*strata, "_quota").agg(F.max(F.struct("_b", "_before")).alias("_e"))
     edge = edge.select(*strata, F.col("_e._b").alias("_edge"), (F.col("_quota") - F.col("_e._before")).alias("_left"))
-    near = keyed.join(bounded_broadcast(edge), list(strata)) if strata else keyed.crossJoin(F.broadcast(edge))
+    near = keyed.join(bounded_broadcast(edge), list(strata))
     near = near.where("_b <= _edge")
     rank = F.row_number().over(Window.partitionBy(*strata, "_b").orderBy("_h", key))
     sure, boundary = near.where("_b < _edge"), near.where("_b = _edge").withColumn("_rank", rank).where("_rank <= _left").drop("_rank")
@@ -40,7 +40,8 @@ def _threshold_rank(df: DataFrame, strata: Sequence[str], key: str, quotas: Data
 
 def exact_sample(df: DataFrame, k: int, key: str, seed: int = 42) -> DataFrame:
     """Exactly min(k, n) rows. Rows with equal keys are told apart only by their hash order; a null key is a key like others."""
-    return _threshold_rank(df, [], key, df.sparkSession.createDataFrame([(max(k, 0),)], "_quota long"), seed)
+    one = df.withColumn("_all", F.lit(0))
+    return _threshold_rank(one, ["_all"], key, df.sparkSession.createDataFrame([(0, max(k, 0))], "_all int, _quota long"), seed).drop("_all")
 
 
 def capped_sample(df: DataFrame, source: str, max_samples: int, key: str, seed: int = 42) -> DataFrame:

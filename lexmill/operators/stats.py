@@ -38,7 +38,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def half_even_score(c: Column, low: int = 0, high: int = 5) -> Column:
     """Clamp, then round half to even; NaN is low, null stays null."""
-    return F.when(F.isnan(c), low).otherwise(F.rint(F.greatest(F.lit(float(low)), F.least(c.cast("double"), F.lit(float(high)))))).cast("int")
+    return F.when(F.isnan(c), low).when(c.isNotNull(), F.rint(F.greatest(F.lit(float(low)), F.least(c.cast("double"), F.lit(float(high)))))).cast("int")
 
 
 def score_pivot(df: DataFrame, cls: str, score: str, weight: str | None = None) -> DataFrame:

@@ -65,7 +65,7 @@ def write_training_shards(df: DataFrame, path: str, split: str = "split", rows:
     """Parquet shards per split and an index of rows and files; written last, so that its presence marks a complete set."""
     df.write.mode("overwrite").option("maxRecordsPerFile", rows).partitionBy(split).parquet(path)
     back = df.sparkSession.read.parquet(path)
-    per = back.groupBy(split).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.input_file_name()).alias("files")).collect()  # one row per split
+    per = back.withColumn("_f", F.input_file_name()).groupBy(split).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("_f").alias("files")).collect()  # one row per split
     index = {r[split]: {"rows": r.n, "files": r.files} for r in per}
     df.sparkSession.createDataFrame([(json.dumps(index, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/_index")
     return index
