@@ -60,13 +60,14 @@ def units(text: str) -> list[tuple[int, int, int, str]]:
 
 
 class Model:
-    """One dictionary per language; texts[lang] is labelled text, cut to the newest DICT_BYTES."""
+    """One dictionary per language, half of it without accents; texts[lang] is labelled text, of which the end counts."""
 
     def __init__(self, texts: dict[str, str], level: int = 3):
         self.langs = sorted(texts)
         self.coders = []
         for lang in self.langs:
-            raw = (texts[lang].lower() + " " + plain(texts[lang].lower())).encode()[-DICT_BYTES:]
+            low = texts[lang].lower()
+            raw = b" ".join(t.encode()[-DICT_BYTES // 2 :] for t in (low, plain(low)))
             d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=level)
             self.coders.append(zstandard.ZstdCompressor(dict_data=d, level=level, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
