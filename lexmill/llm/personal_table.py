@@ -45,6 +45,8 @@ Codice fiscale {I}, {T}{N}
 Versichertennummer {I}, {T}{N}
 DNI {I}, a nombre de {T}{N}.
 NIF {I}, {T}{N}
+N° d'assuré : {I}
+N° de sécurité sociale : {I}
 NIR {I}
 ID {I}
 Passport no. {I}

@@ -67,7 +67,7 @@ def row_tokens(docs: DataFrame, pieces: list[str], chunk: int = CHUNK) -> DataFr
 def token_budget(docs: DataFrame, token_pieces: DataFrame) -> DataFrame:
     """slice, subset, lang, class, n_docs, n_tokens, mean_tokens: one row per combination (slice 'all'), per subset, per lang, per
     class, and the total. Spellings of a value count as one; missing ones are the group '(missing)'; dimensions a row sums over are
-    null. Empty input gives the total row with zeros only."""
+    null. Empty input gives no rows."""
     rows = row_tokens(docs, load(token_pieces)).na.fill(MISSING, ["subset", "lang", "class"])
     fine = rows.groupBy("subset", "lang", "class").agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("t"))
     name = F.expr("case grouping_id(subset, lang, class) when 0 then 'all' when 3 then 'subset' when 5 then 'lang' when 6 then 'class' else 'total' end")

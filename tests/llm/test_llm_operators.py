@@ -113,7 +113,7 @@ def test_oversized_documents_are_cut_without_changing_counts(spark):
     table = spark.createDataFrame([(i, x) for i, x in enumerate(p)], "token_id int, piece string")
     total = token_budget.token_budget(df, table).where("slice = 'total'").first()
     assert total.n_docs == 3 and total.n_tokens == got[1].n_tokens + 1
-    assert token_budget.token_budget(df.limit(0), table).where("slice = 'total'").first().n_tokens == 0
+    assert token_budget.token_budget(df.limit(0), table).count() == 0
 
 
 @settings(max_examples=40, deadline=None)
@@ -191,8 +191,9 @@ def test_pieces_prefer_strong_boundaries(spark):
 
 def test_language_of_held_out_samples(spark, small):
     rows = [(r.lang, r.text) for r in spark.read.parquet(f"{small}/lang_samples.parquet").orderBy("sample_id").collect()]
-    train, held = [r for i, r in enumerate(rows) if i % 4], [r for i, r in enumerate(rows) if not i % 4]
+    train, held = [r for i, r in enumerate(rows) if i // 6 % 4], [r for i, r in enumerate(rows) if not i // 6 % 4]
     model = language.Model({k: " ".join(t for lang, t in train if lang == k) for k in {lang for lang, _ in rows}})
+    assert len({lang for lang, _ in held}) == 6
     hits = [max(model.passages(t), key=lambda p: p[2])[3] == lang for lang, t in held]
     assert sum(hits) >= 0.9 * len(hits)
     fr, en = (" ".join(t for lang, t in held if lang == k) for k in ("fr", "en"))
