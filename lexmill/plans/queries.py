@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import json as J
 from lexmill.functions.rows import latest, read
 from lexmill.functions.text import WORD_RE2, WS_RE2, first_words, label_key, url_prefixed, word_count, words
-from lexmill.operators import chunking, dedup, evaluate, filters, inference, model_output, projection, prompts, quality, sampling, stats
+from lexmill.operators import builders, chunking, dedup, evaluate, filters, inference, model_output, projection, prompts, quality, sampling, stats
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -677,3 +677,52 @@ def corpus_counts(spark, d):
 @query("""select row_id, subset, annotated_at from (select *, row_number() over (partition by row_id order by annotated_at desc, ingested_at desc, subset desc) as rn from scored_docs) where rn = 1""")
 def latest_delivery(spark, d):
     return latest(scored(spark, d), "row_id", ["annotated_at", "ingested_at"], ["subset", "annotated_at"])
+
+
+# builders
+
+
+def _squeezed(c: str) -> str:
+    return f"regexp_replace(regexp_replace({c}, '^[{WS_RE2}]+|[{WS_RE2}]+$', '', 'g'), '[{WS_RE2}]+', ' ', 'g')"
+
+
+@query(f"select row_id, concat_ws(' ', {_squeezed('term')}, {_squeezed('definition')}) as text from generate_output")
+def text_pairs(spark, d):
+    return read(spark, d, "generate_output").select("row_id", builders.build("x/pairs", [("pairs", lambda: builders.pair("term", "definition"))]).alias("text"))
+
+
+@query("select row_id, array_to_string(synonyms, ' ') as text from generate_output where synonyms is not null and len(list_filter(synonyms, lambda x: x is null)) = 0")
+def text_token_list(spark, d):
+    return read(spark, d, "generate_output").where("synonyms is not null and not exists(synonyms, x -> x is null)").select("row_id", builders.token_list("synonyms").alias("text"))
+
+
+@query("select source, case when n <= 2 then 'a' else 'b' end as part from (select source, ntile(4) over (order by source) as n from (select distinct source from documents where source is not null))")
+def model_assignment(spark, d):
+    df = read(spark, d, "documents").where("source is not null")
+    return builders.assign_in_order(df, "source", ["a", "a", "b", "b"])
+
+
+@query("select row_id, round(coalesce((" + " + ".join(f"coalesce(list_sum(list_transform(medical_entities.{k}, lambda x: length(x))), 0)" for k in projection.ENTITY_LABELS) + ")::double / nullif(length(text), 0), 0), 6) as density from rewrite_output")
+def density_by_extracted(spark, d):
+    return rounded(read(spark, d, "rewrite_output").select("row_id", builders.extracted_density(F.col("medical_entities"), F.col("text")).alias("density")))
+
+
+@query(f"select {CLASS}, round(quantile_cont({EDU}, 0.5), 6) as median_before, round(quantile_cont(num_words, 0.5), 6) as median_after, count({EDU}) as n_before, count(num_words) as n_after from mds_input where {CLASS} is not null and coalesce({EDU}, num_words) is not null group by {CLASS}")
+def paired_medians(spark, d):
+    return rounded(builders.paired_medians(shards(spark, d), CLASS, EDU, "num_words"))
+
+
+@query("select distinct source from documents where source is not null and source not in (select name from mds_input where name is not null)")
+def labels_missing(spark, d):
+    return builders.labels_missing(shards(spark, d).select(F.col("name").alias("source")), read(spark, d, "documents"), "source")
+
+
+@query(f"select name, round(avg(case when {EDU} between 1 and 5 then {EDU} end), 6) as mean_{EDU}, count(case when {EDU} between 1 and 5 then 1 end) as n_{EDU} from mds_input group by name")
+def judge_summary(spark, d):
+    return rounded(builders.judge_summary(shards(spark, d), "name", [EDU]))
+
+
+@query("select count(*) + count_if(len(synonyms) > 1) as n from generate_output where synonyms is not null")
+def augmented_count(spark, d):
+    g = read(spark, d, "generate_output").where("synonyms is not null").select("row_id", "synonyms")
+    return builders.augment_order(g, "synonyms", "row_id").agg(F.count(F.lit(1)).alias("n"))

@@ -69,3 +69,13 @@ def write_training_shards(df: DataFrame, path: str, split: str = "split", rows:
     index = {r[split]: {"rows": r.n, "files": r.files} for r in per}
     df.sparkSession.createDataFrame([(json.dumps(index, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/_index")
     return index
+
+
+def write_report(df: DataFrame, path: str, limit: int = 10_000) -> str:
+    """A report of at most limit rows as one CSV file; returns it as a Markdown table. Larger results are refused."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"a report has at most {limit} rows")
+    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+    line = lambda cells: "| " + " | ".join("" if c is None else str(c) for c in cells) + " |"
+    return "\n".join([line(df.columns), line("-" for _ in df.columns), *map(line, rows)])
