@@ -43,3 +43,9 @@ def bounded_batches(spark: SparkSession, rows: int = 4096, mb: int = 8) -> None:
     """Bound Arrow batches by bytes as well as rows, so that long texts cannot fill a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{mb}m")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores if it comes in fewer partitions than half of them, as a small table in one file does; else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df
