@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.session import bounded_batches
+from lexmill.session import bounded_batches, spread
 
 # Languages with the names and codes that a label may use for them.
 NAMES = {
@@ -28,7 +28,7 @@ NAMES = {
     "pt": "pt por portuguese portugais português portugues portugués portugiesisch portoghese",
 }
 CODES = {n: k for k, v in NAMES.items() for n in v.split()}
-SAMPLE_ROWS, DICT_BYTES = 4000, 60_000
+SAMPLE_ROWS, DICT_BYTES = 1500, 60_000
 UNIT, SWITCH, MARGIN, PASSAGE = 12, 14, 4, 20  # words, bytes, bytes, words
 _UNIT = re.compile(r"[^.!?;:\n«»“”\"()\[\]]+(?:[.!?;:]+(?=\S)[^.!?;:\n«»“”\"()\[\]]+)*")
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
@@ -154,7 +154,7 @@ def passages(rows: DataFrame, samples: DataFrame, sample_rows: int = SAMPLE_ROWS
     bounded_batches(rows.sparkSession, rows=1024)
     texts = {k: v.encode()[-DICT_BYTES:].decode(errors="ignore") for k, v in fit(samples, rows, sample_rows).items()}
     kind = "row_id bigint, passage int, start_pos bigint, end_pos bigint, words bigint, share double, lang string, confidence double, label_langs array<string>"
-    return rows.select("row_id", "lang", "output").mapInArrow(_segments(texts), kind)
+    return spread(rows.select("row_id", "lang", "output")).mapInArrow(_segments(texts), kind)
 
 
 def mislabelled(found: DataFrame, least: int = PASSAGE) -> DataFrame:

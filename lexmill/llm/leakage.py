@@ -21,7 +21,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.session import bounded_batches
+from lexmill.session import bounded_batches, spread
 
 GRAM, WINDOW, EDIT_SHARE = 3, 18, 6
 EDITS = WINDOW // EDIT_SHARE
@@ -332,10 +332,10 @@ def leaks(docs: DataFrame, items: DataFrame, block: int = BLOCK_ITEMS) -> DataFr
         if not len(index.keys):
             continue
         counts = np.zeros(len(index.keys), np.int64)
-        per = docs.select("text").mapInArrow(_count(index), "gram int, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+        per = spread(docs.select("text")).mapInArrow(_count(index), "gram int, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
         for r in per.toLocalIterator():  # one row per gram of the block's items
             counts[r.gram] = r.n
         index.keep_rare(counts)
-        found = docs.select("doc_id", "text").mapInArrow(_search(index), KIND)
+        found = spread(docs.select("doc_id", "text")).mapInArrow(_search(index), KIND)
         out = found if a == 0 else out.unionByName(found)
     return out

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lexmill.llm import personal_table as table
-from lexmill.session import bounded_batches
+from lexmill.session import bounded_batches, spread
 
 KINDS = table.KINDS
 TAGS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
@@ -359,10 +359,10 @@ def find(docs: DataFrame, clean: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, kind, start_pos, end_pos (code points), found: one row per span; no shuffle. docs: doc_id, text; other columns are
     ignored. Null and empty texts give none; a repeated doc_id gives its spans as often."""
     bounded_batches(docs.sparkSession, rows=1024, mb=4)
-    return docs.select("doc_id", "text").mapInArrow(_find(train(clean), False), "doc_id bigint, kind string, start_pos bigint, end_pos bigint, found string")
+    return spread(docs.select("doc_id", "text")).mapInArrow(_find(train(clean), False), "doc_id bigint, kind string, start_pos bigint, end_pos bigint, found string")
 
 
 def redact(docs: DataFrame, clean: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text with typed placeholders, n_found. Null text stays null."""
     bounded_batches(docs.sparkSession, rows=1024, mb=4)
-    return docs.select("doc_id", "text").mapInArrow(_find(train(clean), True), "doc_id bigint, text string, n_found int")
+    return spread(docs.select("doc_id", "text")).mapInArrow(_find(train(clean), True), "doc_id bigint, text string, n_found int")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.session import bounded_batches
+from lexmill.session import bounded_batches, spread
 
 MIN_RUN = 6
 SHARE = 0.40
@@ -151,7 +151,7 @@ def repetition(rewrites: DataFrame, generated: DataFrame, min_run: int = MIN_RUN
     one = lambda df, name: df.select("row_id", F.lit(name).alias("record_table"), "output")
     both = one(rewrites, "rewrite_output").unionByName(one(generated, "generate_output"))
     kind = "record_table string, row_id bigint, words bigint, repeated_words bigint, longest_repeat bigint, share double"
-    return both.mapInArrow(_measure(min_run), kind)
+    return spread(both).mapInArrow(_measure(min_run), kind)
 
 
 def keep(scores: DataFrame, max_share: float = SHARE, max_longest: int = 100) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lexmill.session import bounded_batches
+from lexmill.session import bounded_batches, spread
 
 LIMIT, OVERLAP = 6000, 200
 KINDS = ("character", "word", "sentence", "line", "paragraph")
@@ -125,4 +125,4 @@ def split(docs: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, with_text
         raise ValueError("overlap must be smaller than limit")
     bounded_batches(docs.sparkSession, rows=512)
     kind = "row_id bigint, piece int, start_pos bigint, overlap int, end_pos bigint, cut string, text string, longest_run bigint"
-    return docs.select("row_id", "text").mapInArrow(_split(limit, overlap, with_text), kind)
+    return spread(docs.select("row_id", "text")).mapInArrow(_split(limit, overlap, with_text), kind)
