@@ -466,6 +466,13 @@ def rewriting_extract(spark, d):
     return r.select("row_id", model_output.rewriting(F.col("output")).alias("r")).where("r.text is not null").select("row_id", "r.text", "r.title")
 
 
+@query()
+def rewriting_every(spark, d):
+    """rewriting_extract without its cut to strict JSON, which SQL cannot go beyond: wrapped, prefixed and followed JSON too."""
+    r = read(spark, d, "rewrite_output").select("row_id", model_output.rewriting(F.col("output")).alias("r"))
+    return r.where("r.text is not null").select("row_id", "r.text", "r.title")
+
+
 @query(f"""with t as (select row_id, case when regexp_matches(output, '(?im)^[ \t]*#{{1,6}}[ \t]*conversation\\b[^\n\r]*$') then regexp_replace(output, '(?ims)^.*?^[ \t]*#{{1,6}}[ \t]*conversation\\b[^\n\r]*$', '') else output end as t from generate_output where not contains(lower(output), 'conversation') or starts_with(output, '# Conversation')),
 l as (select row_id, list_filter(string_split_regex(case when starts_with(t, '# Conversation') then substr(t, 15) else t end, '\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x{{85}}\\x{{2028}}\\x{{2029}}]'), lambda x: regexp_replace(x, '[{WS_RE2}]+', '', 'g') <> '') as l from t)
 select row_id, regexp_replace(array_to_string(l, chr(10)), '^[{WS_RE2}]+|[{WS_RE2}]+$', '', 'g') as text from l where l is not null""")
@@ -474,6 +481,12 @@ def dialogue_extract(spark, d):
     return g.select("row_id", model_output.dialogue(F.col("output")).alias("text"))
 
 
+@query()
+def dialogue_every(spark, d):
+    """dialogue_extract over every output, also where the header stands further down."""
+    return read(spark, d, "generate_output").select("row_id", model_output.dialogue(F.col("output")).alias("text"))
+
+
 _ENT = "case when contains(text, 'patient') then ['patient'] else [] end || case when contains(text, 'dose') then ['dose'] else [] end"
 
 
