@@ -5,6 +5,10 @@ with at most one word in EDIT_SHARE edited, so of a window's word 3-grams at lea
 still found when its KEPT - 1 most frequent ones in the corpus are left out of the seeds. Frequencies are counted over the whole
 corpus in a first pass. In the second pass each worker looks the seeds up, keeps a hit only if enough words of a window match near its
 diagonal (again a bound no leak can miss), and aligns what is left. Items are a stated query set: they go out in blocks of bounded size.
+
+Where sentences occur in any order the limit on edits holds for the stem as a whole, so a sentence may have more than its share. But one
+of them has no more than its share: each sentence of at most REACH words gets as many edits as fall to it of all that the stem may have, is
+a candidate with no more than these, and has so many seeds that one survives them.
 """
 
 from __future__ import annotations
@@ -95,6 +99,14 @@ def grams(ids: np.ndarray) -> np.ndarray:
     return key
 
 
+def shares(spans: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(begin, end, edits) of the sentences of at most REACH words that a stem is looked for by: those of 2 * GRAM words or more, or all that
+    hold a gram where none is so long. If each sentence had more edits than here, the stem would have more than one in EDIT_SHARE."""
+    long = [(a, z) for a, z in spans if z - a >= 2 * GRAM] or [(a, z) for a, z in spans if z - a >= GRAM]
+    allowed, words = sum(z - a for a, z in spans) // EDIT_SHARE, sum(z - a for a, z in long)
+    return [(a, z, min(allowed * (z - a) // words, z - a - GRAM)) for a, z in long if z - a <= REACH]
+
+
 class Index:
     """The items of a block: words, stems as ids, sentence spans, and the sorted keys of all their grams with where they occur."""
 
@@ -128,25 +140,22 @@ class Index:
         self.gram_of = np.full(len(self.flat), -1, np.int64)  # number of the gram beginning at a place
         for g in range(len(self.keys)):
             self.gram_of[self.place[self.start[g] : self.start[g + 1]]] = g
-        self.sentence_size, self.sentence_first = np.zeros(len(self.flat), np.int64), np.zeros(len(self.flat), np.int64)
-        for i, spans in enumerate(self.spans):
-            for a, z in spans:
-                self.sentence_size[self.first[i] + a : self.first[i] + z] = z - a
-                self.sentence_first[self.first[i] + a : self.first[i] + z] = self.first[i] + a
+        self.sentence_size, self.sentence_first, self.sentence_least = (np.zeros(len(self.flat), np.int64) for _ in range(3))
+        self.apart = [shares(spans) for spans in self.spans]
+        for i, sentences in enumerate(self.apart):
+            for a, z, edits in sentences:
+                at = slice(self.first[i] + a, self.first[i] + z)
+                self.sentence_size[at], self.sentence_first[at], self.sentence_least[at] = z - a, self.first[i] + a, z - a - edits
+        self.least = min([WINDOW - EDITS, *(z - a - edits for sentences in self.apart for a, z, edits in sentences)])
         self._filter(np.ones(len(self.keys), bool))
 
-    def short(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Length and first place of the sentence at each place, where it is shorter than a window (else length 0)."""
-        size = self.sentence_size[place]
-        return np.where(size < WINDOW, size, 0), self.sentence_first[place]
-
     def _filter(self, use: np.ndarray) -> None:
         self.use = use
         self.bits = np.zeros(1 << 20, bool)
         self.bits[(self.keys[use] >> np.uint64(44)).astype(np.int64)] = True
 
     def keep_rare(self, counts: np.ndarray) -> None:
-        """Seeds: grams that are in some window not among its KEPT - 1 most frequent ones (ties by number)."""
+        """Seeds: grams that are in some window not among its KEPT - 1 most frequent ones (ties by number), and so for sentences."""
         use = np.zeros(len(self.keys), bool)
         width = WINDOW - GRAM + 1
         for i in range(len(self.stems)):
@@ -155,6 +164,10 @@ class Index:
             for a in range(max(1, len(g) - width + 1)):
                 w = g[a : a + width]
                 use[w[np.lexsort((w, counts[w]))][: max(1, len(w) - KEPT + 1)]] = True
+            for a, z, edits in self.apart[i]:
+                w = self.gram_of[self.first[i] + a : self.first[i] + z - GRAM + 1]
+                kept = max(1, len(w) - GRAM * edits)
+                use[w[np.lexsort((w, counts[w]))][: len(w) - kept + 1]] = True
         self._filter(use)
 
     def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,7 +195,7 @@ def encode(ids: Ids, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def candidates(index: Index, ids: np.ndarray, begin: np.ndarray, chunk: int = 200_000) -> list[tuple[int, int, int]]:
     """(text, item, diagonal) of hits where, within EDITS of the diagonal, a window holding the seed has WINDOW - EDITS matching words,
-    or a sentence shorter than a window has all but its edits."""
+    or a sentence of at most REACH words has all but its edits."""
     at, g = index.hits(ids)
     if not len(at):
         return []
@@ -207,16 +220,15 @@ def candidates(index: Index, ids: np.ndarray, begin: np.ndarray, chunk: int = 20
         hit = stem == text[:, :width]
         for d in range(1, 2 * EDITS + 1):
             hit |= stem == text[:, d : d + width]
-        some = np.flatnonzero(hit.sum(1, dtype=np.uint8) >= 5)
+        some = np.flatnonzero(hit.sum(1, dtype=np.uint8) >= index.least)
         p, q, i, hit = p[some], q[some], i[some], hit[some]
         total = np.zeros((len(p), width + 1), np.int8)
         np.cumsum(hit, 1, dtype=np.int8, out=total[:, 1:])
         good = (total[:, WINDOW:] - total[:, :-WINDOW]).max(1, initial=0) >= WINDOW - EDITS
-        size, first = index.short(q)  # sentences shorter than a window, found as wholes
-        lo = REACH - (q - first)
-        rows = np.flatnonzero((size >= 2 * GRAM) & (lo >= 0) & (lo + size <= width))
+        size, lo = index.sentence_size[q], REACH - (q - index.sentence_first[q])  # sentences found as wholes
+        rows = np.flatnonzero(size)
         lo, size = lo[rows], size[rows]
-        good[rows] |= total[rows, lo + size] - total[rows, lo] >= size - size // EDIT_SHARE
+        good[rows] |= total[rows, lo + size] - total[rows, lo] >= index.sentence_least[q[rows]]
         t = np.searchsorted(begin, p[good], "right") - 1
         found |= set(zip(t.tolist(), i[good].tolist(), (p - q + index.first[i])[good].tolist(), strict=True))
     return sorted(found)
@@ -247,6 +259,17 @@ def align(stem: np.ndarray, text: np.ndarray) -> list[tuple[int, int]]:
     return path[::-1]
 
 
+def fewest_edits(part: np.ndarray, text: np.ndarray) -> int:
+    """Fewest words changed, added or missing between part and any passage of the text."""
+    ramp = np.arange(len(text) + 1)
+    row = np.zeros(len(text) + 1, np.int64)
+    for w in part:
+        new = row + 1
+        new[1:] = np.minimum(new[1:], row[:-1] + (text != w))
+        row = np.minimum.accumulate(new - ramp) + ramp
+    return int(row.min())
+
+
 def longest_kept(path: list[tuple[int, int]]) -> tuple[int, int]:
     """Most stem words on end in the alignment with at most one edit per EDIT_SHARE words, and the edits among them."""
     words = np.cumsum([0, *(p >= 0 for p, _ in path)])
@@ -273,13 +296,9 @@ def judge(index: Index, item: int, text: np.ndarray, diagonals: list[int]) -> tu
         return (*best, "passage")
     edits = 0
     for s, e in index.spans[item]:
-        part = stem[s:e]
-        path = align(part, text)
-        kept = sum(same for _, same in path)
-        wrong = len(part) - kept + sum(p < 0 for p, _ in path)
-        if wrong * EDIT_SHARE > len(part):
+        edits += fewest_edits(stem[s:e], text)
+        if edits * EDIT_SHARE > len(stem):
             return None
-        edits += wrong
     return len(stem), edits, "sentences"
 
 
