@@ -12,7 +12,7 @@ from lexmill.functions.text import words
 from lexmill.operators.model_output import without_accents
 from lexmill.session import bounded_batches, cut_lineage
 
-SHINGLE, BANDS, ROWS, SIMILARITY = 5, 14, 8, 0.8
+SHINGLE, BANDS, ROWS, SIMILARITY = 5, 30, 5, 0.8
 
 
 def exact(df: DataFrame, field: str, key: str, seed: int = 42) -> DataFrame:
@@ -29,56 +29,63 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words(F.lower(F.regexp_replace(text, r"[\p{Punct}«»“”’…]+", " "))), lambda w: F.xxhash64(w))
 
 
+def run_hashes(row, mult: np.ndarray) -> np.ndarray:
+    """The distinct hashes of all runs of SHINGLE words; a shorter text is one run."""
+    x = np.asarray(row).astype(np.int64).view(np.uint64)
+    size = min(SHINGLE, len(x))
+    run = np.zeros(len(x) - size + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(size):
+            run = (run ^ x[k : len(x) - size + 1 + k]) * mult[k]
+            run ^= run >> np.uint64(31)
+    return np.unique(run)
+
+
+def multipliers() -> np.ndarray:
+    return np.random.default_rng(7).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def signature(hashes: pd.Series) -> pd.Series:
-    """BANDS * ROWS minima of seeded hashes over all runs of SHINGLE words; a shorter text is one run, one without words has none. In
+    """The number of distinct runs, then BANDS hashes of ROWS minima of seeded hashes over all runs each; a text without words has none. In
     numpy, because Spark interprets lambdas, and one inside another re-evaluates what it refers to."""
-    mult = np.random.default_rng(7).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    mult = multipliers()
 
     def one(row) -> np.ndarray | None:
         if row is None or not len(row):
             return None
-        x = np.asarray(row).astype(np.int64).view(np.uint64)
-        size = min(SHINGLE, len(x))
+        run = run_hashes(row, mult)
+        low = np.full(len(mult), np.iinfo(np.uint64).max, np.uint64)
         with np.errstate(over="ignore"):
-            run = np.zeros(len(x) - size + 1, np.uint64)
-            for k in range(size):
-                run = (run ^ x[k : len(x) - size + 1 + k]) * mult[k]
-                run ^= run >> np.uint64(31)
-            low = np.full(len(mult), np.iinfo(np.uint64).max, np.uint64)
-            for i in range(0, len(run), 4096):
-                h = run[i : i + 4096, None] * mult
-                low = np.minimum(low, ((h ^ (h >> np.uint64(32))) * mult[::-1]).min(0))
-        return low.view(np.int64)
+            for i in range(0, len(run), 256):  # a product of mixed 64-bit hashes needs no further mixing; blocks stay in the cache
+                low = np.minimum(low, (run[i : i + 256, None] * mult).min(0))
+            band = np.arange(1, BANDS + 1).astype(np.uint64)  # so that bands differ, and need not be told apart further on
+            for k in range(ROWS):
+                band = (band ^ low[k::ROWS]) * mult[k]
+                band ^= band >> np.uint64(31)
+        return np.concatenate([[len(run)], band.view(np.int64)])
 
     return hashes.map(one)
 
 
-def near_duplicates(df: DataFrame, key: str, text: str, similarity: float = SIMILARITY, rounds: int = 30) -> DataFrame:
-    """key, cluster (the least key of its component) of every row with words. Exact copies are folded first, so a class of copies is one
-    node. Nodes that share a MinHash band are linked to the least node of the band if their signatures agree, and components follow
-    by passing least labels along links. A band of any size costs its rows once; no pairs inside a band are made. A link that fails
-    against the band's least node is tried again against the next least one until none is left."""
-    folded = df.select(key, F.xxhash64(text).alias("_t"), F.length(text).alias("_l"), F.col(text).alias("_x"))
-    node = folded.groupBy("_t", "_l").agg(F.min(key).alias("node"), F.min_by("_x", key).alias("_x"))
-    bounded_batches(df.sparkSession, rows=1024)
-    signed = cut_lineage(node.select("node", signature(word_hashes(F.col("_x"))).alias("sig")).where("sig is not null"))
-    band = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.slice("sig", b * ROWS + 1, ROWS)))).alias("band", "h")
-    left = signed.select("node", "sig", band)
-    links = None
-    while True:
-        centre = left.groupBy("band", "h").agg(F.min("node").alias("c"), F.min_by("sig", "node").alias("csig"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        near = F.size(F.filter(F.zip_with("sig", "csig", lambda a, b: a == b), lambda x: x)) / float(BANDS * ROWS)
-        tried = left.join(centre, ["band", "h"]).where("node <> c").withColumn("ok", near >= similarity)
-        tried = cut_lineage(tried)
-        found = tried.where("ok").select("node", "c").distinct()
-        links = found if links is None else links.unionByName(found)
-        left = tried.where("not ok").select("node", "sig", "band", "h")
-        if left.isEmpty():
-            break
-    links = cut_lineage(links.distinct())
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def run_set(hashes: pd.Series) -> pd.Series:
+    mult = multipliers()
+    return hashes.map(lambda row: None if row is None or not len(row) else run_hashes(row, mult).view(np.int64))
+
+
+def similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (node, c) whose sets of runs have at least this Jaccard similarity, counted exactly. texts: node, text."""
+    wanted = pairs.select("node").union(pairs.select("c")).distinct()
+    runs = cut_lineage(texts.join(wanted, "node", "left_semi").select("node", run_set(word_hashes(F.col("text"))).alias("runs")))
+    both = pairs.join(runs, "node").join(runs.select(F.col("node").alias("c"), F.col("runs").alias("cruns")), "c")
+    shared = F.size(F.array_intersect("runs", "cruns"))
+    return both.where(shared >= similarity * (F.size("runs") + F.size("cruns") - shared) - 1e-9).select("node", "c")
+
+
+def components(label: DataFrame, links: DataFrame, rounds: int) -> DataFrame:
+    """label (node, cluster) with the least cluster that links lead to: least labels pass along links, with pointer jumping."""
     both = links.unionByName(links.select(F.col("c").alias("node"), F.col("node").alias("c")))
-    label = cut_lineage(signed.select("node", F.col("node").alias("cluster")))
     for _ in range(rounds):
         least = both.join(label.select(F.col("node").alias("c"), F.col("cluster").alias("l")), "c").groupBy("node").agg(F.min("l").alias("l"))
         moved = label.join(least, "node", "left").select("node", F.least("cluster", F.coalesce("l", "cluster")).alias("cluster"), F.col("cluster").alias("old"))
@@ -87,9 +94,36 @@ def near_duplicates(df: DataFrame, key: str, text: str, similarity: float = SIMI
         moved = cut_lineage(moved.join(jump, "cluster", "left").select("node", F.least("cluster", F.coalesce("l2", "cluster")).alias("cluster"), "old"))
         label = moved.select("node", "cluster")
         if moved.where("cluster <> old").isEmpty():
-            break
-    else:
-        raise RuntimeError("components did not converge")
+            return label
+    raise RuntimeError("components did not converge")
+
+
+def near_duplicates(df: DataFrame, key: str, text: str, similarity: float = SIMILARITY, rounds: int = 30) -> DataFrame:
+    """key, cluster (the least key of its component) of every row with words. Exact copies are folded first, so a class of copies is one
+    node. Nodes that share a MinHash band are candidates; a link is one whose sets of runs are similar, counted exactly. First every node
+    is tried with the least node of each of its bands, so that a band of near copies costs its rows once; then, in bands whose nodes are
+    still in different components, all pairs across components, since a link inside a component changes nothing. The second step is
+    quadratic in a band's nodes that resemble each other without being similar."""
+    folded = df.select(key, F.xxhash64(text).alias("_t"), F.length(text).alias("_l"), F.col(text).alias("_x"))
+    bounded_batches(df.sparkSession, rows=1024)
+    node = folded.withColumn("s", signature(word_hashes(F.col("_x")))).groupBy("_t", "_l").agg(F.min(key).alias("node"), F.first("s").alias("s"))
+    signed = cut_lineage(node.select("node", "s").where("s is not null"))
+    texts = df.select(F.col(key).alias("node"), F.col(text).alias("text"))
+    close = lambda: F.least("n", "cn") >= similarity * F.greatest("n", "cn") - 1e-9  # noqa: E731  sets of other sizes cannot be similar
+    member = signed.select("node", F.element_at("s", 1).alias("n"), F.explode(F.slice("s", 2, BANDS)).alias("h")).repartition("h")
+    centre = member.groupBy("h").agg(F.min_by(F.struct(F.col("node").alias("c"), F.col("n").alias("cn")), "node").alias("_c"), F.count(F.lit(1)).alias("m")).where("m > 1").select("h", "_c.*")
+    tried = cut_lineage(member.join(centre, "h"))
+    first = cut_lineage(tried.where((F.col("node") != F.col("c")) & close()).select("node", "c").distinct())
+    links = cut_lineage(similar(first, texts, similarity))
+    label = components(signed.select("node", F.col("node").alias("cluster")), links, rounds)
+    left = tried.select("node", "n", "h").join(label, "node")
+    several = left.groupBy("h").agg(F.min("cluster").alias("a"), F.max("cluster").alias("z")).where("a < z").select("h")
+    left = cut_lineage(left.join(several, "h", "left_semi"))
+    other = left.select(F.col("node").alias("c"), F.col("n").alias("cn"), F.col("cluster").alias("cc"), "h")
+    across = left.join(other, "h").where((F.col("node") > F.col("c")) & (F.col("cluster") != F.col("cc")) & close()).select("node", "c").distinct()
+    more = cut_lineage(similar(cut_lineage(across.join(first, ["node", "c"], "left_anti")), texts, similarity))
+    if not more.isEmpty():
+        label = components(label, links.unionByName(more), rounds)
     members = folded.join(node.select("_t", "_l", "node"), ["_t", "_l"])
     return members.join(label, "node").select(key, "cluster")
 
