@@ -94,8 +94,7 @@ def _split(limit: int, overlap: int, with_text: bool):
                     out.append((row_id, 0, 0, 0, 0, None, None, 0))
                     continue
                 got = pieces(text, limit, overlap)
-                weak = any(k is not None and k < 2 for *_, k in got)
-                run_ = longest_unbroken(text) if weak else 0
+                run_ = longest_unbroken(text) if len(text) > limit else 0
                 for n, (lead, a, z, k) in enumerate(got):
                     out.append((row_id, n, lead, a - lead, z, None if k is None else KINDS[k], text[lead:z] if with_text else None, run_))
                     size += z - lead
@@ -118,7 +117,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def split(docs: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, with_text: bool = True) -> DataFrame:
     """row_id, piece (from 0), start_pos, overlap, end_pos, cut (kind of the boundary it starts at, null for the first), text,
-    longest_run (set where a text had to be cut at a word or character). No shuffle; columns other than row_id and text are ignored.
+    longest_run (set where a text is longer than limit). No shuffle; columns other than row_id and text are ignored.
 
     A null text gives one row with null text and no extent, an empty one one empty piece; repeated rows are split each time."""
     if not 0 <= overlap < limit:
