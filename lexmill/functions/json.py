@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.text import JSON_OBJECT, lstrip
 
+# The reference's bound on the pairs of the flat form.
+MOST_PAIRS = 99
+
 
 def strict(s: Column) -> Column:
     """The value as a one-element array VARIANT, or null unless s is exactly one JSON value. Read fields at $[0]."""
@@ -47,9 +50,11 @@ def proposals(s: Column) -> Column:
     v = F.coalesce(strict(s), strict(last_object(s)))
     pair = "array<struct<genre string, audience string>>"
     nested = F.when(field(v, "has_medical_content", "boolean"), F.filter(field(v, "proposals", pair), lambda p: p.genre.isNotNull() & p.audience.isNotNull()))
-    flat = F.array(*[F.struct(field(v, f"genre_{i}", "string").alias("genre"), field(v, f"audience_{i}", "string").alias("audience")) for i in range(1, 6)])
+    pair_of = lambda m, i: F.struct(F.element_at(m, F.concat(F.lit("genre_"), i)).alias("genre"), F.element_at(m, F.concat(F.lit("audience_"), i)).alias("audience"))
+    fields = F.array(F.try_variant_get(v, "$[0]", "map<string,string>"))  # bound once by the outer lambda
+    flat = F.flatten(F.transform(fields, lambda m: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(MOST_PAIRS), F.size(m)))), lambda i: pair_of(m, i.cast("string")))))
     whole = F.transform(flat, lambda p: p.genre.isNotNull() & p.audience.isNotNull())
-    gap = F.coalesce(F.nullif(F.array_position(whole, False), F.lit(0)) - 1, F.lit(5))
+    gap = F.coalesce(F.nullif(F.array_position(whole, False), F.lit(0)) - 1, F.size(flat).cast("long"))
     counted = F.slice(flat, F.lit(1), gap.cast("int"))
     got = F.when(F.size(nested) > 0, nested).when(F.size(counted) > 0, counted)
     return got
