@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from lexmill.session import bounded_batches, spread
 
 MIN_RUN = 6
+# Occurrences from which a run shorter than MIN_RUN counts, by its words; shorter ones recur by chance.
+TIMES = {3: 5, 4: 3, 5: 3}
 SHARE = 0.40
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _FIELD = re.compile(r'\\*"rewritten_text\\*"\s*:\s*')
@@ -106,6 +108,16 @@ def earlier_lengths(sa: np.ndarray, lcp: np.ndarray) -> tuple[list[int], list[in
     return best, source
 
 
+def recurs(lcp: list[int], r: int, h: int, times: int) -> bool:
+    """Whether the first h words of the suffix at place r of the suffix array occur so many times; looks at no more than these."""
+    n, a, z = 1, r, r + 1
+    while n < times and a > 0 and lcp[a] >= h:
+        n, a = n + 1, a - 1
+    while n < times and z < len(lcp) and lcp[z] >= h:
+        n, z = n + 1, z + 1
+    return n >= times
+
+
 def repeated(words: list[str], min_run: int = MIN_RUN) -> tuple[int, int]:
     """Words covered by copies of earlier wording, and the length of the longest copy."""
     n = len(words)
@@ -115,11 +127,15 @@ def repeated(words: list[str], min_run: int = MIN_RUN) -> tuple[int, int]:
     ids = np.array([table.setdefault(w, len(table)) for w in words])
     if len(table) == n:
         return 0, 0
-    best, source = earlier_lengths(*suffix_array(ids))
+    sa, lcp = suffix_array(ids)
+    best, source = earlier_lengths(sa, lcp)
+    rank, bounds = np.empty(n, np.int64), lcp.tolist()
+    rank[sa] = np.arange(n)
     mark, longest, end = 0, 0, 0
     for i, (h, j) in enumerate(zip(best, source, strict=True)):
         # a copy right behind its original (words or short phrases said over and over) counts from two words said at least twice more
-        if h >= min_run or (h >= 2 and i - j <= h):
+        # a phrase with other words between its copies counts if it recurs
+        if h >= min_run or (h >= 2 and i - j <= h) or (h >= min(TIMES) and recurs(bounds, int(rank[i]), h, TIMES.get(h, min(TIMES.values())))):
             longest = max(longest, h)
             mark += max(0, i + h - max(i, end))
             end = max(end, i + h)
