@@ -11,10 +11,12 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexmill.session import bounded_batches, spread
 
@@ -45,6 +47,12 @@ def named(label: str | None) -> set[str]:
     return {CODES[x] for p in re.split(r"[^\w-]+", (label or "").lower()) for x in (p, re.split("[-_]", p)[0]) if x in CODES}
 
 
+@F.pandas_udf(T.StringType())
+def label_language(label: pd.Series) -> pd.Series:
+    """The language of a label that names one; else null."""
+    return label.map(lambda x: next(iter(names)) if len(names := named(x)) == 1 else None)
+
+
 def units(text: str) -> list[tuple[int, int, int, str]]:
     """(start, end, words, normalised words) of the units of a text; stretches without words belong to none."""
     out = []
@@ -108,8 +116,9 @@ class Model:
 
 
 def fit(samples: DataFrame, rows: DataFrame | None = None, sample_rows: int = SAMPLE_ROWS) -> dict[str, str]:
-    """Labelled text per language: the samples (all of them; a fixed table), and about sample_rows rows, chosen by hash, of rows
-    (row_id, output, lang) whose label names one language and agrees with the dictionaries of the samples alone."""
+    """Labelled text per language: the samples (all of them; a fixed table), and of rows (row_id, output, lang) whose label names one
+    language an equal part of sample_rows for each language, distinct row_ids in the order of their hash, as far as the label agrees with
+    the dictionaries of the samples alone."""
     texts: dict[str, list[str]] = {}
     for r in samples.where("text is not null").orderBy("sample_id").limit(100_000).collect():
         texts.setdefault(r.lang, []).append(r.text)
@@ -117,14 +126,22 @@ def fit(samples: DataFrame, rows: DataFrame | None = None, sample_rows: int = SA
     if rows is None or not base:
         return base
     model = Model(base)
-    every = max(1, rows.count() // sample_rows)
-    some = rows.where(F.pmod(F.xxhash64("row_id", F.lit(5)), F.lit(every)) == 0).select("row_id", "lang", F.substring("output", 1, 4000).alias("output"))
+    known = rows.select("row_id", "output", label_language(F.col("lang")).alias("lang")).where(F.col("lang").isin(list(base)))
+    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.approx_count_distinct("row_id").alias("n")).collect()}
+    quota = max(1, sample_rows // len(base))
+    rank = F.pmod(F.xxhash64("row_id", F.lit(5)), F.lit(1_000_000))
+    low = F.lit(False)
+    for lang, n in counts.items():  # half as many again, as the counts are estimates and the hash is uneven
+        low = low | ((F.col("lang") == lang) & (rank < int(min(1_000_000, 1_500_000 * quota / n + 1))))
+    some = known.where(low).groupBy("lang", "row_id").agg(F.min(F.substring("output", 1, 4000)).alias("output"), F.min(rank).alias("rank"))
+    taken: dict[str, int] = {}
     more: dict[str, list[str]] = {}
-    for r in some.limit(2 * sample_rows).collect():
-        if len(names := named(r.lang)) == 1 and (lang := next(iter(names))) in base:
+    for r in sorted(some.collect(), key=lambda r: (r.rank, r.row_id is None, r.row_id or 0)):
+        taken[r.lang] = taken.get(r.lang, 0) + 1
+        if taken[r.lang] <= quota:
             got = model.passages(r.output)
-            if len(got) == 1 and got[0][3] == lang and got[0][2] >= 15:
-                more.setdefault(lang, []).append((r.row_id, " ".join(u[3] for u in units(r.output))))
+            if len(got) == 1 and got[0][3] == r.lang and got[0][2] >= 15:
+                more.setdefault(r.lang, []).append((r.row_id, " ".join(u[3] for u in units(r.output))))
     return {k: " ".join([t for _, t in sorted(more.get(k, []))] + [v]) for k, v in base.items()}
 
 
