@@ -190,6 +190,17 @@ def before_after_summary(spark, d):
     return rounded(m.agg(F.count("char_ratio").alias("n_char"), F.avg("char_ratio").alias("mean_char"), F.count("word_ratio").alias("n_word"), F.count("density_ratio").alias("n_density"), F.avg((F.col("density_diff") > 0).cast("double")).alias("share_up")))
 
 
+@query()
+def before_after_rewritten(spark, d):
+    """Each original against the rewritten text parsed from its output: words, and density of the row's entities, counted on either."""
+    r = read(spark, d, "rewrite_output").select("row_id", "medical_entities", F.col("text").alias("original_text"), model_output.rewriting(F.col("output"))["text"].alias("text"))
+    r = r.where("text is not null and original_text is not null")
+    found = F.create_map(*[x for k in projection.ENTITY_LABELS for x in (F.lit(k), F.array_compact(F.coalesce(F.col(f"medical_entities.{k}"), F.array().cast("array<string>"))))])
+    dens = lambda t: F.when(F.col("medical_entities").isNotNull(), model_output.density(found, F.col(t)).cast("double"))
+    v = r.select("row_id", "text", "original_text", word_count(F.col("text")).alias("num_words"), word_count(F.col("original_text")).alias("original_num_words"), dens("text").alias(DENSITY), dens("original_text").alias(f"original_{DENSITY}"))
+    return rounded(projection.before_after(v).select("row_id", "char_ratio", "word_ratio", "density_diff", "density_ratio"), 5)
+
+
 # projections and unions
 
 
@@ -677,6 +688,14 @@ def multi_hot(spark, d):
     return g.select("row_id", F.array_contains("synonyms", F.col("term")).cast("int").alias("same"), (F.size("synonyms") > 0).cast("int").alias("any_"))
 
 
+@query()
+def multi_hot_entities(spark, d):
+    """The entity types of each rewrite over the fixed list of types, by the operator that multi_hot's SQL has no words for."""
+    e = {k: F.col(f"medical_entities.{k}") for k in projection.ENTITY_LABELS}
+    labels = F.array_compact(F.array(*[F.when(F.size(v) > 0, F.lit(k)) for k, v in e.items()]))
+    return read(spark, d, "rewrite_output").select("row_id", evaluate.multi_hot(labels, list(e)).alias("hot"))
+
+
 @query(f"select count(*) as n_over, coalesce(sum({N_WORDS} - 512), 0)::bigint as n_lost from documents where {N_WORDS} > 512")
 def over_limit(spark, d):
     return evaluate.over_limit(docs_with_words(spark, d), "n_words", 512)
