@@ -97,7 +97,7 @@ def p8_leaks(spark, d):
 
 
 def _clean(spark, d):
-    return personal.clean_lines(read(spark, d, "lang_samples"), read(spark, d, "eval_items"))
+    return personal.clean_lines(read(spark, d, "lang_samples"))
 
 
 def p9_found(spark, d):
