@@ -6,9 +6,10 @@ still found when its KEPT - 1 most frequent ones in the corpus are left out of t
 corpus in a first pass. In the second pass each worker looks the seeds up, keeps a hit only if enough words of a window match near its
 diagonal (again a bound no leak can miss), and aligns what is left. Items are a stated query set: they go out in blocks of bounded size.
 
-Where sentences occur in any order the limit on edits holds for the stem as a whole, so a sentence may have more than its share. But one
-of them has no more than its share: each sentence of at most REACH words gets as many edits as fall to it of all that the stem may have, is
-a candidate with no more than these, and has so many seeds that one survives them.
+Where sentences occur in any order the limit on edits holds for the stem as a whole, so a sentence may have more than its share. But
+sentences are cut into parts of at most WINDOW words, and each part gets so many edits that not all parts can have more than theirs; a part
+is a candidate with no more than these, and has so many seeds that one survives them. Stems for which that cannot be had, as most of their
+sentences have one or two words, are tried on every document that holds enough of their words.
 """
 
 from __future__ import annotations
@@ -30,10 +31,10 @@ from lexmill.session import bounded_batches, spread
 GRAM, WINDOW, EDIT_SHARE = 3, 18, 6
 EDITS = WINDOW // EDIT_SHARE
 KEPT = WINDOW - GRAM + 1 - GRAM * EDITS
-REACH = 2 * WINDOW
+REACH = WINDOW
 BLOCK_ITEMS = 5_000
 CACHE = 200_000
-_TAG = re.compile(r"<[^<>]{0,500}>")
+_TAG = re.compile(r"</?[a-zA-Z!][^<>]*>")
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -99,12 +100,21 @@ def grams(ids: np.ndarray) -> np.ndarray:
     return key
 
 
-def shares(spans: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """(begin, end, edits) of the sentences of at most REACH words that a stem is looked for by: those of 2 * GRAM words or more, or all that
-    hold a gram where none is so long. If each sentence had more edits than here, the stem would have more than one in EDIT_SHARE."""
-    long = [(a, z) for a, z in spans if z - a >= 2 * GRAM] or [(a, z) for a, z in spans if z - a >= GRAM]
-    allowed, words = sum(z - a for a, z in spans) // EDIT_SHARE, sum(z - a for a, z in long)
-    return [(a, z, min(allowed * (z - a) // words, z - a - GRAM)) for a, z in long if z - a <= REACH]
+def shares(spans: list[tuple[int, int]]) -> list[tuple[int, int, int]] | None:
+    """(begin, end, edits) of the parts of sentences that a stem is looked for by. If each part had more edits than here, the stem would
+    have more than one in EDIT_SHARE; and of each part one gram survives its edits. None if no choice of parts has both."""
+    parts = []
+    for a, z in spans:
+        n = -(-(z - a) // WINDOW)
+        parts += [(a + k * (z - a) // n, a + (k + 1) * (z - a) // n) for k in range(n)]
+    allowed = sum(z - a for a, z in spans) // EDIT_SHARE
+    for least in (2 * GRAM, GRAM):
+        some = [(a, z) for a, z in parts if z - a >= least]
+        words = sum(z - a for a, z in some)
+        out = [(a, z, min(allowed * (z - a) // words, (z - a) // GRAM - 1)) for a, z in some]
+        if sum(e + 1 for *_, e in out) > allowed:
+            return out
+    return None
 
 
 class Index:
@@ -141,7 +151,9 @@ class Index:
         for g in range(len(self.keys)):
             self.gram_of[self.place[self.start[g] : self.start[g + 1]]] = g
         self.sentence_size, self.sentence_first, self.sentence_least = (np.zeros(len(self.flat), np.int64) for _ in range(3))
-        self.apart = [shares(spans) for spans in self.spans]
+        apart = [shares(spans) for spans in self.spans]
+        self.rest = [i for i, parts in enumerate(apart) if parts is None]
+        self.apart = [parts or [] for parts in apart]
         for i, sentences in enumerate(self.apart):
             for a, z, edits in sentences:
                 at = slice(self.first[i] + a, self.first[i] + z)
@@ -195,10 +207,11 @@ def encode(ids: Ids, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def candidates(index: Index, ids: np.ndarray, begin: np.ndarray, chunk: int = 200_000) -> list[tuple[int, int, int]]:
     """(text, item, diagonal) of hits where, within EDITS of the diagonal, a window holding the seed has WINDOW - EDITS matching words,
-    or a sentence of at most REACH words has all but its edits."""
+    or a part of a sentence has all but its edits."""
+    found = by_words(index, ids, begin)
     at, g = index.hits(ids)
     if not len(at):
-        return []
+        return sorted(found)
     n = index.start[g + 1] - index.start[g]
     pos = np.repeat(at, n)
     place = index.place[np.repeat(index.start[g] - np.cumsum(n) + n, n) + np.arange(n.sum())]
@@ -213,7 +226,6 @@ def candidates(index: Index, ids: np.ndarray, begin: np.ndarray, chunk: int = 20
     width = 2 * REACH + GRAM
     stems = sliding_window_view(index.flat, width)  # row q - REACH is centred on place q
     around = sliding_window_view(np.concatenate([np.full(REACH + EDITS, -2, np.int32), ids, np.full(width + EDITS, -2, np.int32)]), width + 2 * EDITS)
-    found = set()
     for a in range(0, len(pos), chunk):
         p, q, i = pos[a : a + chunk], place[a : a + chunk], item[a : a + chunk]
         stem, text = stems[q - REACH], around[p]
@@ -225,7 +237,7 @@ def candidates(index: Index, ids: np.ndarray, begin: np.ndarray, chunk: int = 20
         total = np.zeros((len(p), width + 1), np.int8)
         np.cumsum(hit, 1, dtype=np.int8, out=total[:, 1:])
         good = (total[:, WINDOW:] - total[:, :-WINDOW]).max(1, initial=0) >= WINDOW - EDITS
-        size, lo = index.sentence_size[q], REACH - (q - index.sentence_first[q])  # sentences found as wholes
+        size, lo = index.sentence_size[q], REACH - (q - index.sentence_first[q])
         rows = np.flatnonzero(size)
         lo, size = lo[rows], size[rows]
         good[rows] |= total[rows, lo + size] - total[rows, lo] >= index.sentence_least[q[rows]]
@@ -234,6 +246,18 @@ def candidates(index: Index, ids: np.ndarray, begin: np.ndarray, chunk: int = 20
     return sorted(found)
 
 
+def by_words(index: Index, ids: np.ndarray, begin: np.ndarray) -> set[tuple[int, int, int]]:
+    """(text, item, its beginning) for the stems that no seed is proven for: texts with all their words but as many as may be edited."""
+    found = set()
+    for i in index.rest:
+        wanted = np.unique(index.stems[i])
+        at = np.flatnonzero(np.isin(ids, wanted))
+        text = np.searchsorted(begin, at, "right") - 1
+        n = np.bincount(np.unique(text * (len(index.words) + 1) + ids[at]) // (len(index.words) + 1), minlength=1)
+        found |= {(int(t), i, int(begin[t])) for t in np.flatnonzero(n >= max(1, len(wanted) - len(index.stems[i]) // EDIT_SHARE))}
+    return found
+
+
 def align(stem: np.ndarray, text: np.ndarray) -> list[tuple[int, int]]:
     """Smith-Waterman over words (match 2, mismatch and gap -1): the best local alignment as (stem place or -1, matches 1/0)."""
     n, m = len(stem), len(text)
@@ -348,7 +372,7 @@ def leaks(docs: DataFrame, items: DataFrame, block: int = BLOCK_ITEMS) -> DataFr
     out = spark.createDataFrame([], KIND)
     for a in range(0, len(wanted), block):
         index = Index(wanted[a : a + block])
-        if not len(index.keys):
+        if not index.stems:
             continue
         counts = np.zeros(len(index.keys), np.int64)
         per = spread(docs.select("text")).mapInArrow(_count(index), "gram int, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
@@ -356,5 +380,5 @@ def leaks(docs: DataFrame, items: DataFrame, block: int = BLOCK_ITEMS) -> DataFr
             counts[r.gram] = r.n
         index.keep_rare(counts)
         found = spread(docs.select("doc_id", "text")).mapInArrow(_search(index), KIND)
-        out = found if a == 0 else out.unionByName(found)
+        out = out.unionByName(found)
     return out
