@@ -10,7 +10,9 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
@@ -31,11 +33,12 @@ NAMES = {
 }
 CODES = {n: k for k, v in NAMES.items() for n in v.split()}
 SAMPLE_ROWS, DICT_BYTES = 1500, 60_000
+MOST_SAMPLES = 20_000  # rows of the table of labelled samples; larger tables are refused
 UNIT, SWITCH, MARGIN, PASSAGE = 12, 14, 4, 20  # words, bytes, bytes, words
 _UNIT = re.compile(r"[^.!?;:\n«»“”\"()\[\]]+(?:[.!?;:]+(?=\S)[^.!?;:\n«»“”\"()\[\]]+)*")
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 _TOKEN = re.compile(r"\S*\w\S*")
-_TAG = re.compile(r"<[^<>]{0,200}>")
+_TAG = re.compile(r"</?[a-zA-Z!][^<>]*>")
 
 
 def plain(text: str) -> str:
@@ -53,20 +56,31 @@ def label_language(label: pd.Series) -> pd.Series:
     return label.map(lambda x: next(iter(names)) if len(names := named(x)) == 1 else None)
 
 
-def units(text: str) -> list[tuple[int, int, int, str]]:
-    """(start, end, words, normalised words) of the units of a text; stretches without words belong to none."""
+def units(text: str) -> list[tuple[int, int, int, int, str]]:
+    """(begin and end of a stretch of text, first and last of its words, these words in lower case) of the units of a text; stretches
+    without words belong to none. Text without tags is expected: their places are blanks."""
     out = []
-    text = _TAG.sub(lambda m: " " * len(m.group()), text)
     for m in _UNIT.finditer(text):
-        found = [(w.start(), w.end(), w.group().lower()) for w in _WORD.finditer(text, m.start(), m.end())]
-        parts = max(1, -(-len(found) // UNIT))
-        for k in range(parts):
-            ws = found[k * len(found) // parts : (k + 1) * len(found) // parts]
-            if ws:
-                out.append((ws[0][0], ws[-1][1], len(ws), " ".join(w for _, _, w in ws)))
+        if found := _WORD.findall(m.group()):
+            n = len(found)
+            if n <= UNIT:
+                out.append((m.start(), m.end(), 0, n - 1, " ".join(found).lower()))
+            else:
+                parts = -(-n // UNIT)
+                cuts = [k * n // parts for k in range(parts + 1)]
+                out += [(m.start(), m.end(), a, z - 1, " ".join(found[a:z]).lower()) for a, z in zip(cuts, cuts[1:], strict=False)]
     return out
 
 
+def untagged(text: str) -> str:
+    return _TAG.sub(lambda m: " " * len(m.group()), text) if "<" in text else text
+
+
+def _word(text: str, unit: tuple, nth: int) -> tuple[int, int]:
+    """Begin and end of a word of a unit's stretch."""
+    return next(islice(_WORD.finditer(text, unit[0], unit[1]), nth, None)).span()
+
+
 class Model:
     """One dictionary per language, half of it without accents; texts[lang] is labelled text, of which the end counts."""
 
@@ -78,21 +92,30 @@ class Model:
             raw = b" ".join(t.encode()[-DICT_BYTES // 2 :] for t in (low, plain(low)))
             d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=level)
-            self.coders.append(zstandard.ZstdCompressor(dict_data=d, level=level, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
-
-    def costs(self, words: str) -> list[int]:
-        data = words.encode()
-        return [len(c(data)) for c in self.coders]
-
-    def passages(self, text: str | None) -> list[tuple[int, int, int, str | None, float]]:
-        """(start, end, words, language or None, confidence) in order; none for texts without words."""
-        got = units(text) if text else []
-        if not got:
-            return []
-        costs = [self.costs(" " + u[3] + " ") for u in got]
-        k = range(len(self.langs))
-        best, back = list(costs[0]), []
-        for c in costs[1:]:
+            self.coders.append(zstandard.ZstdCompressor(dict_data=d, level=level, write_content_size=False, write_checksum=False, write_dict_id=False))
+
+    def costs(self, words: list[str]) -> np.ndarray:
+        """Compressed sizes [unit, language]; all units go to a coder in one call."""
+        if not words:
+            return np.zeros((0, len(self.langs)), np.int64)
+        data = [f" {w} ".encode() for w in words]
+        return np.array([list(map(len, c.multi_compress_to_buffer(data))) for c in self.coders], np.int64).T
+
+    def path(self, costs: np.ndarray) -> list[int]:
+        """The languages of least total cost with SWITCH for each change. If no stretch of units gains more than SWITCH by another
+        language, the path stays in the language of the least total."""
+        total = costs.sum(0)
+        one = int(total.argmin())
+        gain = 0
+        for x in (costs[:, one] - costs.min(1)).tolist():
+            gain += x
+            if gain > SWITCH:
+                break
+        else:
+            return [one] * len(costs)
+        k, rows = range(len(self.langs)), costs.tolist()
+        best, back = rows[0], []
+        for c in rows[1:]:
             low = min(k, key=best.__getitem__)
             step = [i if best[i] <= best[low] + SWITCH else low for i in k]
             best = [c[i] + (best[step[i]] if step[i] == i else best[low] + SWITCH) for i in k]
@@ -100,27 +123,45 @@ class Model:
         path = [min(k, key=best.__getitem__)]
         for step in reversed(back):
             path.append(step[path[-1]])
-        path.reverse()
-        out, i = [], 0
-        while i < len(got):
-            j = i
-            while j < len(got) and path[j] == path[i]:
-                j += 1
-            total = [sum(c[x] for c in costs[i:j]) for x in k]
-            size = total[path[i]]
-            second = min(total[x] for x in k if x != path[i])
-            sure = max(0.0, (second - size) / second)
-            out.append((got[i][0], got[j - 1][1], len(_TOKEN.findall(text, got[i][0], got[j - 1][1])), self.langs[path[i]] if second - size >= MARGIN else None, sure))
-            i = j
+        return path[::-1]
+
+    def every(self, texts: list[str | None]) -> list[list[tuple[int, int, int, str | None, float]]]:
+        """Of each text (start, end, words, language or None, confidence) of its passages in order; none for texts without words."""
+        bare = [untagged(t) if t else "" for t in texts]
+        got = [units(t) for t in bare]
+        costs = self.costs([u[4] for us in got for u in us])
+        out, at = [], 0
+        for text, us in zip(bare, got, strict=True):
+            own = costs[at : at + len(us)]
+            at += len(us)
+            path, found, i = self.path(own) if us else [], [], 0
+            while i < len(us):
+                j = i
+                while j < len(us) and path[j] == path[i]:
+                    j += 1
+                total = own[i:j].sum(0)
+                size = int(total[path[i]])
+                total[path[i]] = np.iinfo(np.int64).max
+                second = int(total.min()) if len(self.langs) > 1 else size
+                a, z = _word(text, us[i], us[i][2])[0], _word(text, us[j - 1], us[j - 1][3])[1]
+                found.append((a, z, len(_TOKEN.findall(text, a, z)), self.langs[path[i]] if second - size >= MARGIN else None, max(0.0, (second - size) / second)))
+                i = j
+            out.append(found)
         return out
 
+    def passages(self, text: str | None) -> list[tuple[int, int, int, str | None, float]]:
+        return self.every([text])[0]
+
 
 def fit(samples: DataFrame, rows: DataFrame | None = None, sample_rows: int = SAMPLE_ROWS) -> dict[str, str]:
     """Labelled text per language: the samples (all of them; a fixed table), and of rows (row_id, output, lang) whose label names one
     language an equal part of sample_rows for each language, distinct row_ids in the order of their hash, as far as the label agrees with
     the dictionaries of the samples alone."""
     texts: dict[str, list[str]] = {}
-    for r in samples.where("text is not null").orderBy("sample_id").limit(100_000).collect():
+    labelled = samples.select("sample_id", "lang", "text").where("text is not null and lang is not null").limit(MOST_SAMPLES + 1).collect()
+    if len(labelled) > MOST_SAMPLES:
+        raise ValueError(f"more than {MOST_SAMPLES} labelled samples")
+    for r in sorted(labelled, key=lambda r: (r.sample_id is None, r.sample_id or 0, r.text)):
         texts.setdefault(r.lang, []).append(r.text)
     base = {k: " ".join(v) for k, v in texts.items()}
     if rows is None or not base:
@@ -141,7 +182,7 @@ def fit(samples: DataFrame, rows: DataFrame | None = None, sample_rows: int = SA
         if taken[r.lang] <= quota:
             got = model.passages(r.output)
             if len(got) == 1 and got[0][3] == r.lang and got[0][2] >= 15:
-                more.setdefault(r.lang, []).append((r.row_id, " ".join(u[3] for u in units(r.output))))
+                more.setdefault(r.lang, []).append((r.row_id, " ".join(u[4] for u in units(untagged(r.output)))))
     return {k: " ".join([t for _, t in sorted(more.get(k, []))] + [v]) for k, v in base.items()}
 
 
@@ -150,9 +191,9 @@ def _segments(texts: dict[str, str]):
         model = Model(texts)
         for b in batches:
             out = []
-            for key, label, text in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            keys, labels, texts_ = (b.column(i).to_pylist() for i in range(3))
+            for key, label, got in zip(keys, labels, model.every(texts_), strict=True):
                 names = sorted(named(label))
-                got = model.passages(text)
                 total = sum(p[2] for p in got)
                 out += [(key, i, a, z, n, n / total, lang, sure, names) for i, (a, z, n, lang, sure) in enumerate(got)] or [(key, 0, None, None, 0, 0.0, None, 0.0, names)]
             if out:
