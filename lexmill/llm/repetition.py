@@ -22,6 +22,7 @@ MIN_RUN = 6
 # Occurrences from which a run shorter than MIN_RUN counts, by its words; shorter ones recur by chance.
 TIMES = {3: 5, 4: 3, 5: 3}
 SHARE = 0.40
+SHORT = 2_000  # words of a text whose suffixes are sorted as bytes; longer ones would take quadratic room
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _FIELD = re.compile(r'\\*"rewritten_text\\*"\s*:\s*')
 _NEXT = re.compile(r'"\s*(?:,\s*"(?:is_rewritable|format|title)"\s*:|\}|,?\s*$)')
@@ -61,12 +62,36 @@ def rewritten_text(output: str | None) -> str | None:
     return _ESCAPE.sub(plain, rest[:end])
 
 
-def suffix_array(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array by prefix doubling and its longest common prefixes (lcp[i] of suffixes i-1 and i)."""
+def suffix_array(ids: np.ndarray) -> tuple[list[int], list[int]]:
+    """Suffix array and its longest common prefixes (lcp[i] of suffixes i-1 and i): by sorting the suffixes' bytes where they are short,
+    by prefix doubling else."""
     n = len(ids)
+    if n <= SHORT and int(ids.max()) < 1 << 16:
+        data = ids.astype(">u2").tobytes()  # compares as the numbers do
+        order = sorted(range(n), key=lambda i: data[2 * i :])
+    else:
+        order = _doubling(ids)
+    rank = [0] * n
+    for r, i in enumerate(order):
+        rank[i] = r
+    lcp, h, seq = [0] * n, 0, [*ids.tolist(), -1]
+    for i, r in enumerate(rank):
+        if r == 0:
+            h = 0
+            continue
+        j = order[r - 1]
+        a, b = (i + h, j + h) if i > j else (j + h, i + h)  # only the later suffix can end
+        while a < n and seq[a] == seq[b]:
+            a, b = a + 1, b + 1
+        lcp[r] = h = a - max(i, j)
+        if h:
+            h -= 1
+    return order, lcp
+
+
+def _doubling(ids: np.ndarray) -> list[int]:
+    n, step = len(ids), 1
     rank = np.unique(ids, return_inverse=True)[1].astype(np.int64)
-    step = 1
-    order = np.argsort(rank, kind="stable")
     while True:
         second = np.full(n, -1, np.int64)
         second[: n - step] = rank[step:] if step < n else second[:0]
@@ -76,35 +101,32 @@ def suffix_array(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         new[order] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
         rank, step = new, step * 2
         if rank.max() == n - 1 or step >= n:
-            break
-    lcp, h = np.zeros(n, np.int64), 0
-    seq, pos, sa = ids.tolist(), rank.tolist(), order.tolist()
-    for i in range(n):
-        if (r := pos[i]) == 0:
-            h = 0
-            continue
-        j = sa[r - 1]
-        while i + h < n and j + h < n and seq[i + h] == seq[j + h]:
-            h += 1
-        lcp[r] = h
-        h = max(h - 1, 0)
-    return order, lcp
+            return order.tolist()
 
 
-def earlier_lengths(sa: np.ndarray, lcp: np.ndarray) -> tuple[list[int], list[int]]:
-    """For each position the longest passage that begins earlier too, and where: the lcp interval up to the nearest suffix of smaller
-    position on either side of the suffix array, found with one stack."""
+def earlier_lengths(sa: list[int], lcp: list[int]) -> tuple[list[int], list[int]]:
+    """For each position the longest passage that begins earlier too, and where. Positions leave the suffix array from the last to the
+    first, so that the neighbours of the one leaving are the nearest suffixes of smaller position; their lcp intervals then merge."""
     n = len(sa)
+    rank = [0] * n
+    for r, i in enumerate(sa):
+        rank[i] = r
+    before, after, common = list(range(-1, n)), list(range(1, n + 2)), [*lcp, 0, 0]
     best, source = [0] * n, [-1] * n
-    for order, common in ((range(n), lcp.tolist()), (range(n - 1, -1, -1), [*lcp.tolist()[1:], 0])):
-        stack: list[tuple[int, int]] = []  # (position, lcp with the one above)
-        for k in order:
-            p, h = int(sa[k]), common[k]
-            while stack and stack[-1][0] > p:
-                h = min(h, stack.pop()[1])
-            if stack and h > best[p]:
-                best[p], source[p] = h, stack[-1][0]
-            stack.append((p, h))
+    for p in range(n - 1, -1, -1):
+        r = rank[p]
+        a, z = before[r], after[r]
+        left, right = common[r], common[z]
+        if left >= right:
+            if left:
+                best[p], source[p] = left, sa[a]
+            common[z] = right
+        else:
+            best[p], source[p] = right, sa[z]
+            common[z] = left
+        before[z] = a
+        if a >= 0:
+            after[a] = z
     return best, source
 
 
@@ -123,19 +145,23 @@ def repeated(words: list[str], min_run: int = MIN_RUN) -> tuple[int, int]:
     n = len(words)
     if n < 2:
         return 0, 0
+    if len(set(zip(words, words[1:], words[2:]))) == max(0, n - 2) and not any(a == c and (a == b or b == d) for a, b, c, d in zip(words, words[1:], words[2:], [*words[3:], None])):
+        return 0, 0  # nothing of three words recurs, and nothing of two right behind itself
     table: dict[str, int] = {}
     ids = np.array([table.setdefault(w, len(table)) for w in words])
-    if len(table) == n:
-        return 0, 0
     sa, lcp = suffix_array(ids)
     best, source = earlier_lengths(sa, lcp)
-    rank, bounds = np.empty(n, np.int64), lcp.tolist()
-    rank[sa] = np.arange(n)
+    rank = [0] * n
+    for r, i in enumerate(sa):
+        rank[i] = r
     mark, longest, end = 0, 0, 0
-    for i, (h, j) in enumerate(zip(best, source, strict=True)):
+    for i, h in enumerate(best):
+        if h < 2:
+            continue
+        j = source[i]
         # a copy right behind its original (words or short phrases said over and over) counts from two words said at least twice more
         # a phrase with other words between its copies counts if it recurs
-        if h >= min_run or (h >= 2 and i - j <= h) or (h >= min(TIMES) and recurs(bounds, int(rank[i]), h, TIMES.get(h, min(TIMES.values())))):
+        if h >= min_run or (h >= 2 and i - j <= h) or (h >= min(TIMES) and recurs(lcp, rank[i], h, TIMES.get(h, min(TIMES.values())))):
             longest = max(longest, h)
             mark += max(0, i + h - max(i, end))
             end = max(end, i + h)
