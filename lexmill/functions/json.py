@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions.text import JSON_OBJECT, lstrip
@@ -12,7 +12,10 @@ MOST_PAIRS = 99
 
 
 def strict(s: Column) -> Column:
-    """The value as a one-element array VARIANT, or null unless s is exactly one JSON value. Read fields at $[0]."""
+    """The value as a one-element array VARIANT, or null unless s is exactly one JSON value; of repeated keys the last counts. Read fields
+    at $[0]. How VARIANT takes repeated keys is a setting of the session, which is made here so that no result depends on other queries."""
+    if (session := SparkSession.getActiveSession()) is not None:
+        session.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     v = F.try_parse_json(F.concat(F.lit("["), s, F.lit("]")))
     return F.when(F.size(F.try_variant_get(v, "$", "array<variant>")) == 1, v)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lexmill.functions.text import squeeze
 from lexmill.operators.model_output import french_spacing
 from lexmill.operators.projection import ENTITY_LABELS
+from lexmill.operators.stats import with_medians
 
 
 def pair(a: str, b: str) -> Column:
@@ -31,6 +32,55 @@ def lowered(text: str) -> Column:
     return F.lower(squeeze(F.col(text)))
 
 
+def segments(left: str, right: str) -> Column:
+    """Two segments three spaces apart."""
+    return F.concat(F.col(left), F.lit("   "), F.col(right))
+
+
+def choices(stem: str, answers: Sequence[str], numbered: bool = False) -> Column:
+    """A question and its answers, each two spaces after what precedes it, with a space at either end."""
+    marked = [F.concat(F.lit(f"({i}) "), F.col(c)) if numbered else F.col(c) for i, c in enumerate(answers, 1)]
+    return F.concat(F.lit(" "), F.col(stem), *[x for m in marked for x in (F.lit("  "), m)], F.lit(" "))
+
+
+# Evaluation sets by a part of their path, the form of their text and the columns it is made of.
+EVALUATION_TEXTS = (
+    ("deft2020/data/local_hf_task_1", "segments", ("source", "cible")),
+    ("deft2020/data/local_hf_task_2", "numbered", ("source", "cible_1", "cible_2", "cible_3")),
+    ("frenchmedmcqa/data/local_hf_None", "choices", ("question", "answer_a", "answer_b", "answer_c", "answer_d", "answer_e")),
+    ("clister/data/local_hf_None", "segments", ("text_1", "text_2")),
+    ("pxcorpus/data/local_hf_None", "tokens", ("tokens",)),
+    ("cas/data/local_hf_pos", "tokens", ("tokens",)),
+    ("essai/data/local_hf_pos", "tokens", ("tokens",)),
+    ("deft2021/data/local_hf_ner", "repaired", ("tokens",)),
+    ("deft2021/data/local_hf_cls", "text", ("text",)),
+    ("diamed/data/local_hf_None", "lower", ("clinical_case",)),
+    ("mantragsc/data/local_hf_fr_medline", "repaired", ("tokens",)),
+    ("mantragsc/data/local_hf_fr_patents", "repaired", ("tokens",)),
+    ("mantragsc/data/local_hf_fr_emea", "repaired", ("tokens",)),
+    ("morfitt/data/local_hf_source", "text", ("abstract",)),
+    ("e3c/data/local_hf_French_clinical", "repaired", ("tokens",)),
+    ("e3c/data/local_hf_French_temporal", "repaired", ("tokens",)),
+    ("quaero/data/local_hf_medline", "repaired", ("tokens",)),
+    ("quaero/data/local_hf_emea", "repaired", ("tokens",)),
+)
+FORMS: dict[str, Callable[..., Column]] = {
+    "segments": segments,
+    "numbered": lambda stem, *answers: choices(stem, answers, numbered=True),
+    "choices": lambda stem, *answers: choices(stem, answers),
+    "tokens": lambda c: token_list(c),
+    "repaired": lambda c: token_list(c, repair=True),
+    "text": lambda c: F.col(c),
+    "lower": lambda c: F.lower(c),
+}
+
+
+def evaluation_text(path: str) -> Column:
+    """The text of an evaluation set's rows, by the first entry whose key is part of the path; null where a column is. Unknown paths are
+    an error."""
+    return build(path, [(key, lambda form=form, columns=columns: FORMS[form](*columns)) for key, form, columns in EVALUATION_TEXTS])
+
+
 def build(path: str, registry: Sequence[tuple[str, Callable[[], Column]]]) -> Column:
     """The first builder whose key is part of the path; none is an error."""
     for key, make in registry:
@@ -64,9 +114,10 @@ def judge_summary(df: DataFrame, group: str, scores: Sequence[str]) -> DataFrame
 
 
 def paired_medians(df: DataFrame, cls: str, before: str, after: str) -> DataFrame:
-    """Medians and counts of two columns per class; a row goes only if both are null."""
+    """Exact medians and counts of two columns per class; a row goes only if both are null."""
     x = df.where(F.col(cls).isNotNull() & F.coalesce(F.col(before), F.col(after)).isNotNull())
-    return x.groupBy(cls).agg(F.percentile(before, 0.5).alias("median_before"), F.percentile(after, 0.5).alias("median_after"), F.count(before).alias("n_before"), F.count(after).alias("n_after"))
+    g = x.groupBy(cls).agg(F.count(before).alias("n_before"), F.count(after).alias("n_after"))
+    return with_medians(g, x, [cls], {before: "median_before", after: "median_after"})
 
 
 def labels_missing(train: DataFrame, validation: DataFrame, label: str) -> DataFrame:

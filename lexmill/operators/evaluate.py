@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,11 +26,12 @@ def class_report(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     c = sides.groupBy("label").agg(F.sum("true").alias("support"), F.sum("pred").alias("pred"), F.sum("tp").alias("tp"))
     p, r = _ratio(F.col("tp"), F.col("pred")), _ratio(F.col("tp"), F.col("support"))
     per = c.select("label", p.alias("precision"), r.alias("recall"), _ratio(2 * F.col("tp"), F.col("pred") + F.col("support")).alias("f1"), "support", "tp")
+    each = per.withColumn("row", F.explode(F.array(F.col("label"), F.lit("\0macro"), F.lit("\0weighted"), F.lit("\0accuracy"))))  # a label may have such a name
     kinds = ("precision", "recall", "f1")
-    macro = per.agg(*[F.avg(k).alias(k) for k in kinds], F.sum("support").alias("support")).select(F.lit("macro").alias("label"), *kinds, "support")
-    weighted = per.agg(*[_ratio(F.sum(F.col(k) * F.col("support")), F.sum("support")).alias(k) for k in kinds], F.sum("support").alias("support")).select(F.lit("weighted").alias("label"), *kinds, "support")
-    accuracy = per.agg(_ratio(F.sum("tp"), F.sum("support")).alias("a"), F.sum("support").alias("support")).select(F.lit("accuracy").alias("label"), *[F.col("a").alias(k) for k in kinds], "support")
-    return per.drop("tp").unionByName(macro).unionByName(weighted).unionByName(accuracy)
+    weigh = lambda k: _ratio(F.sum(F.col(k) * F.col("support")), F.sum("support"))
+    g = each.groupBy("row").agg(*[F.avg(k).alias(k) for k in kinds], *[weigh(k).alias(f"w_{k}") for k in kinds], _ratio(F.sum("tp"), F.sum("support")).alias("a"), F.sum("support").alias("support"))
+    pick = lambda k: F.when(F.col("row") == "\0accuracy", F.col("a")).when(F.col("row") == "\0weighted", F.col(f"w_{k}")).otherwise(F.col(k)).alias(k)
+    return g.select(F.ltrim("row", F.lit("\0")).alias("label"), *[pick(k) for k in kinds], "support")
 
 
 def entity_pairs(df: DataFrame, key: str, gold: str, predicted: str) -> DataFrame:
@@ -43,20 +46,27 @@ def entity_pairs(df: DataFrame, key: str, gold: str, predicted: str) -> DataFram
     return both.na.fill(False, ["in_gold", "in_pred"])
 
 
-def entity_report(pairs: DataFrame) -> DataFrame:
-    """label, precision, recall, f1, support per label and for 'micro', 'macro' and 'weighted'."""
-    tp, g, p = (F.sum(x.cast("long")) for x in (F.col("in_gold") & F.col("in_pred"), F.col("in_gold"), F.col("in_pred")))
-    c = pairs.groupBy("label").agg(tp.alias("tp"), g.alias("gold"), p.alias("pred"))
-
-    def rates(d: DataFrame) -> DataFrame:
-        return d.select("label", _ratio(F.col("tp"), F.col("pred")).alias("precision"), _ratio(F.col("tp"), F.col("gold")).alias("recall"), _ratio(2 * F.col("tp"), F.col("pred") + F.col("gold")).alias("f1"), F.col("gold").alias("support"))
-
-    per = rates(c)
-    micro = rates(c.agg(F.sum("tp").alias("tp"), F.sum("gold").alias("gold"), F.sum("pred").alias("pred")).where("gold is not null").withColumn("label", F.lit("micro")))
+def entity_report(pairs: DataFrame, key: str | None = None) -> DataFrame:
+    """label, precision, recall, f1, support per label and for 'micro', 'macro', 'weighted' and, with a key, 'samples': the means over
+    documents of their own rates. The pairs are counted once, per label (and key); what follows is a few rows per label."""
+    counts = [F.sum(x.cast("long")).alias(n) for n, x in (("tp", F.col("in_gold") & F.col("in_pred")), ("gold", F.col("in_gold")), ("pred", F.col("in_pred")))]
+    c = pairs.groupBy("label").agg(*counts)
+    p, r, f = _ratio(F.col("tp"), F.col("pred")), _ratio(F.col("tp"), F.col("gold")), _ratio(2 * F.col("tp"), F.col("pred") + F.col("gold"))
+    rates = [p.alias("precision"), r.alias("recall"), f.alias("f1")]
+    per = c.select(F.array(F.lit("label"), F.lit("macro"), F.lit("weighted"), F.lit("micro")).alias("kinds"), "label", *rates, F.col("gold").alias("support"), "tp", "gold", "pred")
+    each = per.select(F.explode("kinds").alias("kind"), "*").withColumn("label", F.when(F.col("kind") == "label", F.col("label")).otherwise(F.col("kind")))
+    sums = [F.sum(k).alias(k) for k in ("tp", "gold", "pred")]
     kinds = ("precision", "recall", "f1")
-    macro = per.agg(*[F.avg(k).alias(k) for k in kinds], F.sum("support").alias("support")).where("support is not null").select(F.lit("macro").alias("label"), *kinds, "support")
-    weighted = per.agg(*[_ratio(F.sum(F.col(k) * F.col("support")), F.sum("support")).alias(k) for k in kinds], F.sum("support").alias("support")).where("support is not null").select(F.lit("weighted").alias("label"), *kinds, "support")
-    return per.unionByName(micro).unionByName(macro).unionByName(weighted)
+    mean = [F.avg(k).alias(k) for k in kinds]
+    weight = [_ratio(F.sum(F.col(k) * F.col("support")), F.sum("support")).alias(f"w_{k}") for k in kinds]
+    g = each.groupBy("kind", "label").agg(*mean, *weight, F.sum("support").alias("support"), *sums)
+    micro = dict(zip(kinds, (p, r, f), strict=True))
+    pick = lambda k: F.when(F.col("kind") == "micro", micro[k]).when(F.col("kind") == "weighted", F.col(f"w_{k}")).otherwise(F.col(k)).alias(k)
+    out = g.select("label", *[pick(k) for k in kinds], "support")
+    if key is None:
+        return out
+    own = pairs.groupBy(key).agg(*counts).select(*rates, "gold").agg(*mean, F.sum("gold").alias("support")).where("support is not null")
+    return out.unionByName(own.select(F.lit("samples").alias("label"), *kinds, "support"))
 
 
 def entity_counts(df: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
@@ -103,9 +113,11 @@ def vocabulary_coverage(df: DataFrame, tokens: str, vocabulary: DataFrame) -> Da
     return v.agg(F.count("_s").alias("used"), (F.count(F.lit(1)) - F.count("_s")).alias("unused"), F.count(F.lit(1)).alias("size"), _ratio(F.count("_s"), F.count(F.lit(1))).alias("coverage"))
 
 
-def label_ids(df: DataFrame, label: str) -> DataFrame:
-    """Distinct non-null labels in order with ids from 0. The labels of a classifier are few; they are numbered in one task."""
-    return df.select(F.col(label).cast("string").alias("label")).where("label is not null").distinct().withColumn("id", F.row_number().over(Window.orderBy("label")) - 1)
+def label_ids(df: DataFrame, label: str, *splits: DataFrame) -> DataFrame:
+    """Distinct non-null labels of df and the other splits in order with ids from 0. The labels of a classifier are few; they are numbered
+    in one task."""
+    one = lambda d: d.select(F.col(label).cast("string").alias("label")).where("label is not null").distinct()
+    return reduce(lambda a, b: a.union(b), [one(d) for d in (df, *splits)]).distinct().withColumn("id", F.row_number().over(Window.orderBy("label")) - 1)
 
 
 def multi_hot(labels: Column, vocabulary: list[str]) -> Column:

@@ -10,7 +10,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The subdomain selection.
-CLINICAL_CLASSES = ("Clinical cases & vignettes", "Biomedical & mechanistic science", "Clinical guidelines & pathways", "Drugs, trials & regulation", "Medical devices, diagnostics & imaging")
+CLINICAL_CLASSES = (
+    "Biomedical & mechanistic science",
+    "Clinical cases & vignettes",
+    "Clinical guidelines & pathways",
+    "Drugs, trials & regulation",
+    "Medical devices, diagnostics & imaging",
+)
 EDU, DENSITY, CLASS = "edu_quality_normalized_score", "medical_entity_density", "health_domain_classification_best_class"
 
 
@@ -60,11 +66,41 @@ def thresholds(edu: float | None = 4, density: float | None = 0.1, classes: Sequ
     return reduce(and_, [t for t in tests if t is not None], F.lit(True))
 
 
+def equals(column: str, value) -> Column:
+    """Rows with this value; a null value selects the null rows."""
+    return F.col(column).eqNullSafe(F.lit(value))
+
+
+def one_of(column: str, values: Sequence) -> Column:
+    """Rows whose value is in the list; nulls are not."""
+    return _or_null(F.col(column).isin(*values), False) if values else F.lit(False)
+
+
+def valid_annotation(topic: str, score: str, topics: Sequence[str], low: int = 0, high: int = 5) -> Column:
+    """A topic of the list and a score within its bounds."""
+    return one_of(topic, topics) & _or_null(F.col(score).between(low, high), False)
+
+
+def non_empty(column: str) -> Column:
+    """A string of at least one character, white space included."""
+    return _or_null(F.length(column) > 0, False)
+
+
+def rewritable(flag: str, text: str) -> Column:
+    """Marked as rewritable and with a text that is not empty."""
+    return _or_null(F.col(flag), False) & non_empty(text)
+
+
 def dense_and_educational(density: float = 0.1, edu: float = 4) -> Column:
     """Both scores at or over their thresholds; nulls fail. The density is compared as double, never rounded first."""
     return _or_null((F.col(DENSITY).cast("double") >= density) & (F.col(EDU) >= edu), False)
 
 
+def cheap_prefilter(stage: int | None = None, density: float = 0.01, edu: float = 1) -> Column:
+    """What is worth a model call; second-stage rows come from rows that passed already, so all are kept."""
+    return F.lit(True) if stage == 2 else dense_and_educational(density, edu)
+
+
 def quality_gate(text: Column, script_share: float = 0.01, other_share: float = 0.02) -> Column:
     """False for null text, for more than script_share East Asian or Cyrillic characters, or more than other_share characters that are
     not Latin, Greek, digits, ASCII punctuation or plain white space."""

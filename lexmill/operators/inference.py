@@ -47,8 +47,9 @@ def regress(df: DataFrame, task: str, load: Callable[[], Scorer], text: str = "t
     return df.withColumn(f"{task}_score", run(F.coalesce(F.col(text), F.lit("")))).withColumn(f"{task}_normalized_score", half_even_score(F.col(f"{task}_score")))
 
 
-def extract_entities(df: DataFrame, load: Callable[[], Extractor], text: str = "text", window: int = 256) -> DataFrame:
-    """Adds entities, map<label, array<string>>: the extractor sees windows of `window` words and their finds are merged per label."""
+def extract_entities(df: DataFrame, load: Callable[[], Extractor], text: str = "text", window: int = 256, block: int = 1_000_000) -> DataFrame:
+    """Adds entities, map<label, array<string>>: the extractor sees windows of `window` words of each block of characters, and their finds
+    are merged per label."""
 
     @F.pandas_udf("map<string, array<string>>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -56,10 +57,12 @@ def extract_entities(df: DataFrame, load: Callable[[], Extractor], text: str = "
         for texts in batches:
             out = []
             for t in texts:
-                w, merged = (t or "").split(), {}
-                for i in range(0, len(w), window):
-                    for k, v in extractor(" ".join(w[i : i + window])).items():
-                        merged.setdefault(k, set()).update(x for x in v if x)
+                merged = {}
+                for b in range(0, len(t or ""), block):
+                    w = t[b : b + block].split()
+                    for i in range(0, len(w), window):
+                        for k, v in extractor(" ".join(w[i : i + window])).items():
+                            merged.setdefault(k, set()).update(x for x in v if x)
                 out.append({k: sorted(v) for k, v in merged.items() if v})
             yield pd.Series(out)
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from collections import Counter
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,10 +18,47 @@ from lexmill.operators.projection import ENTITY_LABELS
 
 # The canonical topics.
 TOPICS = (
-    "Biomedical & mechanistic science", "Clinical cases & vignettes", "Clinical guidelines & pathways", "Commercial & promotional", "Drugs, trials & regulation",
-    "Health IT, telemedicine & operations", "Health services & facilities", "Health workforce education & training", "Medical devices, diagnostics & imaging",
-    "Occupational health & safety", "Other health", "Others", "Patient education & lifestyle", "Public health, policy & programs", "Wellness, supplements & CAM",
-)
+    "Clinical cases & vignettes",
+    "Clinical guidelines & pathways",
+    "Patient education & lifestyle",
+    "Wellness, supplements & CAM",
+    "Public health, policy & programs",
+    "Commercial & promotional",
+    "Drugs, trials & regulation",
+    "Biomedical & mechanistic science",
+    "Medical devices, diagnostics & imaging",
+    "Health IT, telemedicine & operations",
+    "Occupational health & safety",
+    "Health workforce education & training",
+    "Health services & facilities",
+    "Other health",
+    "Others",
+)
+# Labels outside the list and the topics they stand for.
+OFF_LIST = {
+    "clinical trials & regulation": "Drugs, trials & regulation",
+    "clinical trials & research": "Drugs, trials & regulation",
+    "clinical trials & pathways": "Drugs, trials & regulation",
+    "clinical research & trials": "Drugs, trials & regulation",
+    "clinical research & studies": "Drugs, trials & regulation",
+    "clinical research": "Drugs, trials & regulation",
+    "clinical diagnostics & imaging": "Medical devices, diagnostics & imaging",
+    "clinical diagnostics & testing": "Medical devices, diagnostics & imaging",
+    "telemedicine & operations": "Health IT, telemedicine & operations",
+    "telemedicine & remote care": "Health IT, telemedicine & operations",
+    "telemedicine & digital health": "Health IT, telemedicine & operations",
+    "telemedicine & health it": "Health IT, telemedicine & operations",
+    "telemedicine & health services": "Health IT, telemedicine & operations",
+    "telemedicine & virtual care": "Health IT, telemedicine & operations",
+    "clinical services & facilities": "Health services & facilities",
+    "clinical procedures & interventions": "Clinical guidelines & pathways",
+    "clinical procedures & techniques": "Clinical guidelines & pathways",
+    "clinical definitions & terminology": "Health workforce education & training",
+    "clinical anatomy & morphology": "Health workforce education & training",
+    "clauses de conscience": "Public health, policy & programs",
+    "radioprotection": "Occupational health & safety",
+    "addictions comportementales": "Other health",
+}
 
 
 @F.pandas_udf(T.StringType())
@@ -33,9 +73,9 @@ def normal_label(label: Column) -> Column:
 
 
 def canonical_topic(label: Column, extra: dict[str, str] | None = None) -> Column:
-    """The canonical topic: exact match after normalising, else the extra map, else the label unchanged."""
+    """The canonical topic of a label: one of the list, or one that OFF_LIST or extra names, in any spelling; other labels stay."""
     key = normal_label(label)
-    table = {t.lower(): t for t in TOPICS} | {k.lower(): v for k, v in (extra or {}).items()}
+    table = {k.lower(): v for k, v in (OFF_LIST | (extra or {})).items()} | {t.lower(): t for t in TOPICS}
     return F.coalesce(F.create_map(*[F.lit(x) for kv in table.items() for x in kv])[key], label)
 
 
@@ -49,6 +89,31 @@ def rewriting(output: Column) -> Column:
     return F.struct(F.when(ok, json.field(v, "is_rewritable", "boolean")).alias("is_rewritable"), F.when(ok, json.string_field(v, "format")).alias("format"), F.when(ok, text).alias("text"), F.when(ok, title).alias("title"))
 
 
+def rewriting_rows(df: DataFrame, output: str = "output") -> DataFrame:
+    """df with is_rewritable, rewriting_format, rewriting_title, rewriting_text and text of its rewrites, the style and model of gen_configs
+    where it has them, and entity structs as JSON strings. Columns of these names are replaced, a text there was is kept as original_text."""
+    r, have = F.col("_r"), df.columns
+    made = {"is_rewritable": r["is_rewritable"], "rewriting_format": r["format"], "rewriting_title": F.make_valid_utf8(r["title"]), "rewriting_text": F.make_valid_utf8(r["text"]), "text": F.make_valid_utf8(r["text"])}
+    if "gen_configs" in have:
+        ok = r["text"].isNotNull()
+        made |= {"rewriting_style": F.when(ok, F.col("gen_configs.rewriting_style")), "rewriting_model": F.when(ok, F.col("gen_configs.model"))}
+    made |= {c: F.coalesce(F.to_json(c), F.lit("{}")) for c in ("medical_entities", "original_medical_entities", "original_medical_entities_pretrained") if c in have}
+    kept = df.withColumn("_r", rewriting(F.col(output)))
+    if "text" in have and "original_text" not in have:
+        kept = kept.withColumn("original_text", F.col("text"))
+    return kept.withColumns(made).drop("_r")
+
+
+def dialogue_rows(df: DataFrame, text: str = "text") -> DataFrame:
+    """df with the dialogue of its text, which is kept as raw_text."""
+    return df.withColumn("raw_text", F.col(text)).withColumn(text, dialogue(F.col("raw_text")))
+
+
+def straight_marks(text: Column) -> Column:
+    """Typographic apostrophes and dashes as plain ones, for comparing."""
+    return F.translate(text, "’‘‛–—", "'''--")
+
+
 def dialogue(text: Column) -> Column:
     """The part after the first conversation header with blank lines dropped; the whole text so treated if there is no header."""
     parts = F.split(text, r"(?im)^[ \t]*#{1,6}[ \t]*conversation\b[^\n\r]*$", 2)
@@ -90,6 +155,15 @@ def entity_map(output: Column, text: Column) -> Column:
     return F.map_from_entries(entries)
 
 
+def entity_rows(df: DataFrame, output: str, text: str, key: str) -> DataFrame:
+    """key, text, entities of the rows with text, one row per text (of equal texts the one whose key hashes lowest), as training data for
+    entity extraction; unreadable outputs have no entities."""
+    from lexmill.operators.dedup import exact
+
+    some = df.where(F.length(text) > 0).select(key, text, output)
+    return exact(some, text, key).select(key, text, entity_map(F.col(output), F.col(text)).alias("entities"))
+
+
 def density(entities: Column, text: Column) -> Column:
     """Characters of the text covered by occurrences of the distinct entities of all types; nested ones count twice. Empty text is 0."""
     every = F.array_distinct(F.filter(F.flatten(F.map_values(entities)), lambda e: F.length(e) > 0))
@@ -104,39 +178,58 @@ def merge_entities(maps: Column) -> Column:
     return F.map_from_entries(F.filter(F.transform(labels, lambda k: F.struct(k.alias("key"), one(k).alias("value"))), lambda e: F.size(e["value"]) > 0))
 
 
+_SAME = str.maketrans({"’": "'", "‘": "'", "‛": "'", "–": "-", "—": "-"})
+_TOKEN = re.compile(r"\w+|[^\w\s]")
+
+
+def _places(inside: list[str], wanted: list[str]) -> list[tuple[int, int]]:
+    """First and last index of every occurrence of a run of tokens, overlapping ones too."""
+    n = len(wanted)
+    return [(i, i + n - 1) for i, x in enumerate(inside) if x == wanted[0] and inside[i : i + n] == wanted]
+
+
 def _align(text: str, entities: list[tuple[str, str]]) -> list[tuple[int, int, str]]:
-    """(first token, last token, label): the n-th use of an entity gets its n-th match in the tokens, else the first place in the
-    characters."""
-    import re
-
-    same = str.maketrans({"’": "'", "‘": "'", "‛": "'", "–": "-", "—": "-"})
-    plain = text.translate(same).lower()
-    tokens = [(m.start(), m.end(), m.group()) for m in re.finditer(r"\w+|[^\w\s]", plain)]
-    words = [t[2] for t in tokens]
-    used: dict[str, int] = {}
+    """(first token, last token, label) of the entities that have a place left. The uses of an entity under a label are numbered: the
+    n-th takes the n-th place among the tokens; where there are fewer, the n-th among the characters; where there is none either, it is
+    left out and its number stays free. Labels not in the list and empty entities are left out."""
+    found = list(_TOKEN.finditer(text))
+    plain = text.translate(_SAME).lower()
+    inside = [m.group().translate(_SAME).lower() for m in found]
+    uses: Counter[tuple[str, str]] = Counter()
+    seen: dict[str, list[tuple[int, int]]] = {}
     out = []
     for label, entity in entities:
-        wanted = entity.translate(same).lower()
-        want = re.findall(r"\w+|[^\w\s]", wanted)
-        if not want:
+        wanted = entity.strip().translate(_SAME).lower()
+        parts = _TOKEN.findall(wanted)
+        if label not in ENTITY_LABELS or not parts:
             continue
-        places = [i for i in range(len(words) - len(want) + 1) if words[i : i + len(want)] == want]
-        n = used.get(wanted, 0)
-        used[wanted] = n + 1
-        if places:
-            i = places[min(n, len(places) - 1)]
-            out.append((i, i + len(want) - 1, label))
-        elif (at := plain.find(wanted)) >= 0:
-            inside = [i for i, (a, z, _) in enumerate(tokens) if a < at + len(wanted) and z > at]
-            out.append((inside[0], inside[-1], label))
+        if wanted not in seen:
+            seen[wanted] = _places(inside, parts)
+        n = uses[label, wanted]
+        if n < len(seen[wanted]):
+            span = seen[wanted][n]
+        else:
+            at = next(islice((m.start() for m in re.finditer(re.escape(wanted), plain)), n, None), None)
+            near = [] if at is None else [i for i, m in enumerate(found) if m.start() < at + len(wanted) and m.end() > at]
+            if not near:
+                continue
+            span = near[0], near[-1]
+        out.append((*span, label))
+        uses[label, wanted] += 1
     return out
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("label", T.StringType())])))
-def align_entities(text: pd.Series, entities: pd.Series) -> pd.Series:
-    """Token spans (inclusive) of entities, an array<struct<label, entity>>; stateful per document, hence a UDF."""
+_SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("label", T.StringType())])
+_ALIGNED = T.StructType([T.StructField("tokenized_text", T.ArrayType(T.StringType())), T.StructField("ner", T.ArrayType(_SPAN))])
+
+
+@F.pandas_udf(_ALIGNED)
+def align_entities(text: pd.Series, entities: pd.Series) -> pd.DataFrame:
+    """The tokens of a text (runs of word characters, single marks) and the inclusive token spans of its entities, an
+    array<struct<label, entity>>; stateful per document, hence a UDF. Null text has no tokens, null entities give no spans."""
     get = lambda e: [(x["label"], x["entity"]) for x in e if x and x["label"] and x["entity"]] if e is not None else []
-    return pd.Series([[{"start": a, "end": z, "label": k} for a, z, k in _align(t or "", get(e))] for t, e in zip(text, entities, strict=True)])
+    rows = [(_TOKEN.findall(t or ""), [{"start": a, "end": z, "label": k} for a, z, k in _align(t or "", get(e))]) for t, e in zip(text, entities, strict=True)]
+    return pd.DataFrame(rows, columns=["tokenized_text", "ner"])
 
 
 def valid_score(output: Column, low: int = 0, high: int = 5) -> Column:

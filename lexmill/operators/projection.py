@@ -6,6 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lexmill.functions import json
 
 # The entity labels.
 ENTITY_LABELS = ("disease", "drug", "body_part", "medical_procedure", "molecular_marker", "clinical_device", "vital_function", "living_beings")
@@ -62,6 +65,38 @@ def entity_struct(entities: Column) -> Column:
     return F.struct(*[F.coalesce(entities[k], none).alias(k) for k in ENTITY_LABELS])
 
 
+def entities_to_json(entities: Column) -> Column:
+    """The struct as a JSON string, with null lists as empty ones."""
+    return F.to_json(entity_struct(entities))
+
+
+def entities_from_json(text: Column) -> Column:
+    """The struct of a JSON string; labels that are absent or no lists of strings are empty, all of them where the string is no object."""
+    v = json.strict(text)
+    none = F.array().cast("array<string>")
+    return F.struct(*[F.coalesce(F.try_variant_get(v, f"$[0].{k}", "array<string>"), none).alias(k) for k in ENTITY_LABELS])
+
+
+def cast_columns(df: DataFrame, kinds: Mapping[str, str | T.DataType]) -> DataFrame:
+    """Columns cast to declared types, structs by field name: fields that are missing become null, others are dropped. Columns that don't
+    exist are skipped."""
+
+    def cast(c: Column, have: T.DataType, want: T.DataType) -> Column:
+        if isinstance(want, T.StructType) and isinstance(have, T.StructType):
+            names = have.fieldNames()
+            made = [(cast(c[f.name], have[f.name].dataType, f.dataType) if f.name in names else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields]
+            return F.when(c.isNotNull(), F.struct(*made))
+        if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
+            return F.transform(c, lambda x: cast(x, have.elementType, want.elementType))
+        return c.cast(want)
+
+    for name, kind in kinds.items():
+        if name in df.columns:
+            want = T.DataType.fromDDL(kind) if isinstance(kind, str) else kind
+            df = df.withColumn(name, cast(F.col(name), df.schema[name].dataType, want))
+    return df
+
+
 def fill_sentinels(df: DataFrame, numbers: Sequence[str] = (), strings: Sequence[str] = ()) -> DataFrame:
     """Null numbers become -1, null strings become empty; columns that don't exist are skipped."""
     df = df.na.fill(-1, [c for c in numbers if c in df.columns])
@@ -69,13 +104,19 @@ def fill_sentinels(df: DataFrame, numbers: Sequence[str] = (), strings: Sequence
 
 
 def before_after(df: DataFrame) -> DataFrame:
-    """char_ratio, word_ratio, density_diff, density_ratio of text against original_text; null where a base is null or 0."""
+    """char_ratio and word_ratio of text against original_text, with density_diff and density_ratio, and edu_diff, where df has the
+    scores; null where a base is null or 0."""
+    if {"edu_quality_score", "original_edu_quality_score"} <= set(df.columns):
+        df = df.withColumn("edu_diff", F.col("edu_quality_score") - F.col("original_edu_quality_score"))
     a, b = F.length("text"), F.length("original_text")
+    if "medical_entity_density" in df.columns:
+        df = df.withColumns({
+            "density_diff": F.col("medical_entity_density") - F.col("original_medical_entity_density"),
+            "density_ratio": F.try_divide(F.col("medical_entity_density"), F.nullif(F.col("original_medical_entity_density"), F.lit(0.0))),
+        })
     return df.withColumns({
         "char_ratio": F.when((a > 0) & (b > 0), a / b),
         "word_ratio": F.try_divide(F.col("num_words").cast("double"), F.nullif(F.col("original_num_words"), F.lit(0))),
-        "density_diff": F.col("medical_entity_density") - F.col("original_medical_entity_density"),
-        "density_ratio": F.try_divide(F.col("medical_entity_density"), F.nullif(F.col("original_medical_entity_density"), F.lit(0.0))),
     })
 
 
@@ -84,6 +125,12 @@ def join_columns(columns: Sequence[str], delimiter: str = " ") -> Column:
     return F.concat_ws(delimiter, *columns)
 
 
+def members(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
+    """Rows whose value stands in the column of the same name of a table; a semi-join, so repeated entries repeat nothing. A null is in no
+    table."""
+    return df.join(table.select(column).where(F.col(column).isNotNull()), column, "left_semi").select(*df.columns)
+
+
 def union_intersection(frames: Sequence[DataFrame]) -> DataFrame:
     """UNION ALL on the columns all frames share, in the first frame's order."""
     shared = [c for c in frames[0].columns if all(c in f.columns for f in frames)]

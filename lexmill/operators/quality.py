@@ -66,7 +66,7 @@ _NAMES = [k for k in LIMITS if "gram" in k]
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
 def gram_shares(text: pd.Series) -> pd.Series:
     """Character shares of the most frequent 2- to 4-grams and of repeated 5- to 10-grams, consumed from left to right."""
-    return text.map(lambda t: [_gram_shares(t or "")[k] for k in _NAMES])
+    return text.map(lambda t: [got[k] for got in (_gram_shares(t or ""),) for k in _NAMES])
 
 
 def repetition_reason(df: DataFrame, text: str = "text") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions.rows import bounded_broadcast
+from lexmill.session import cut_lineage
 
 BUCKETS = 4096
 
@@ -61,7 +62,16 @@ def ratio_sample(df: DataFrame, source: str, ratios: dict[str, float], key: str,
     return rest.unionByName(_threshold_rank(df.where(F.col(source).isin(*ratios)), [source], key, quotas, seed))
 
 
-def length_quotas(df: DataFrame, file: str, alpha: float = 0.5, floor: int = 128, long: int = 2700, long_share: float = 0.8) -> DataFrame:
+def target_sample(df: DataFrame, source: str, ratios: dict[str, float], key: str, seed: int = 42) -> DataFrame:
+    """All rows of the sources without a ratio, which are the target, and int(rows of the target * ratio) rows of each other source, or
+    all of them if it has no more. A null source is part of the target."""
+    rest = df.where(F.coalesce(~F.col(source).isin(*ratios), F.lit(True)))
+    size = rest.count()
+    quotas = df.sparkSession.createDataFrame([(s, int(size * r)) for s, r in ratios.items()], f"`{source}` string, _quota long")
+    return rest.unionByName(_threshold_rank(df.where(F.col(source).isin(*ratios)), [source], key, quotas, seed))
+
+
+def length_quotas(df: DataFrame, file: str, alpha: float = 0.2, floor: int = 128, long: int = 2700, long_share: float = 0.8) -> DataFrame:
     """Per file: rows, rows at or over floor words, the target size round(alpha * n), and how many long and short rows make it up.
     Rounding is half to even. Null word counts are under the floor."""
     ok = F.col("num_words") >= floor
@@ -71,7 +81,7 @@ def length_quotas(df: DataFrame, file: str, alpha: float = 0.5, floor: int = 128
     return n.withColumn("n_short", F.greatest(F.lit(0).cast("long"), F.least(F.col("target") - F.col("n_long"), F.col("n") - F.col("n_long_rows"))))
 
 
-def length_aware(df: DataFrame, file: str, key: str, alpha: float = 0.5, floor: int = 128, long: int = 2700, seed: int = 42) -> DataFrame:
+def length_aware(df: DataFrame, file: str, key: str, alpha: float = 0.2, floor: int = 128, long: int = 2700, seed: int = 42) -> DataFrame:
     """The long and short rows that length_quotas asks for in each file."""
     q = length_quotas(df, file, alpha, floor, long)
     quotas = q.select(file, F.lit(True).alias("_long"), F.col("n_long").alias("_quota")).unionByName(q.select(file, F.lit(False).alias("_long"), F.col("n_short").alias("_quota")))
@@ -105,6 +115,49 @@ def draw(key: Column, weights: dict[str, float], salt: str, seed: int = 42) -> C
     return out.otherwise(name)
 
 
+def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    """All rows in an order fixed by the key and the seed: a range-partitioned sort on a hash, the same on every run and partitioning."""
+    return df.orderBy(order_hash(key, seed), key)
+
+
+def numbered(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """df sorted by the columns of order, with row_number from 0. The sort is range-partitioned and written once; numbers are places in a
+    partition plus the sizes of those before it, of which one row a partition reaches the driver. Rows equal in order have any order."""
+    place = F.monotonically_increasing_id()
+    held = cut_lineage(df.orderBy(*order).withColumn("_id", place))
+    part, inside = F.shiftrightunsigned("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = held.groupBy(part.cast("int").alias("p")).agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect()
+    starts, total = {}, 0
+    for r in sizes:
+        starts[r.p], total = total, total + r.n
+    table = F.array(*[F.lit(starts.get(p, 0)).cast("long") for p in range(max(starts, default=0) + 1)])
+    return held.withColumn("row_number", table[part.cast("int")] + inside).drop("_id")
+
+
+def shard_rows(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
+    """df with shard: runs of `size` rows in the order of the columns, the last one shorter."""
+    return numbered(df, order).withColumn("shard", F.floor(F.col("row_number") / size).cast("int")).drop("row_number")
+
+
+def strided(df: DataFrame, order: Sequence[str], rank: int, world: int, skip: int = 0, limit: int | None = None) -> DataFrame:
+    """Every world-th row from `rank` on, after the first `skip` and of at most `limit` rows of df in the order of the columns."""
+    n = F.col("row_number") - skip
+    keep = (n >= 0) & (F.pmod(n, F.lit(world)) == rank)
+    return numbered(df, order).where(keep & (n < limit) if limit is not None else keep).drop("row_number")
+
+
+def top(df: DataFrame, column: str, key: str, k: int = 5000) -> DataFrame:
+    """The k rows with the largest values of a column, ties by key; nulls and NaN are left out. Each task hands on its own k rows."""
+    return df.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))).orderBy(F.desc(column), key).limit(k)
+
+
+def head_strict(df: DataFrame, order: str, n: int) -> DataFrame:
+    """The first n rows; fewer rows are an error."""
+    if (have := df.limit(n).count()) < n:
+        raise ValueError(f"{n} rows wanted of {have}")
+    return head(df, order, n)
+
+
 def head(df: DataFrame, order: str, n: int, offset: int = 0) -> DataFrame:
     """Rows offset .. offset + n in the order of a column, clamped to what there is."""
     return df.orderBy(order).offset(offset).limit(n)

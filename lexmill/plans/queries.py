@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions import json as J
@@ -129,6 +130,16 @@ def class_order_median(spark, d):
     return rounded(stats.class_order(shards(spark, d), CLASS, EDU))
 
 
+@query(f"with g as (select {CLASS}, avg(num_words) as mean, quantile_cont(num_words, 0.5) as median, count(*) as n, min(row_id) as seen from mds_input where {CLASS} is not null and num_words is not null group by {CLASS}) select {CLASS}, round(mean, 6) as mean, round(median, 6) as median, n, row_number() over (order by seen, {CLASS}) as place from g")
+def class_order_appearance(spark, d):
+    return rounded(stats.class_order(shards(spark, d), CLASS, "num_words", "appearance", seen="row_id"))
+
+
+@query(_ORDER.format(c=CLASS, v="num_words", o="mean desc", top=""))
+def class_order_mean(spark, d):
+    return rounded(stats.class_order(shards(spark, d), CLASS, "num_words", "mean_desc"))
+
+
 @query(_ORDER.format(c="name", v="num_words", o="n desc", top="order by n desc, name limit 8"))
 def class_order_top_count(spark, d):
     return rounded(stats.class_order(shards(spark, d), "name", "num_words", "count_desc", top=8))
@@ -143,19 +154,19 @@ def density_bins_cumulative(spark, d):
     return rounded(stats.bins_cumulative(shards(spark, d), DENSITY))
 
 
-def _bins_sql(weight: str) -> str:
+def _bins_sql(weight: str, order: str) -> str:
     k = range(len(stats.BINS) - 1)
     sums = ", ".join(f"sum(case when bin = {i} then w else 0 end)::double as b{i}" for i in k)
     total = " + ".join(f"b{i}" for i in k)
-    return f"with b as (select c, {_BIN} as bin, w from (select {CLASS} as c, {DENSITY}::double as x, {weight} as w from mds_input where {CLASS} is not null)), g as (select c, {sums} from b where bin is not null group by c) select c as {CLASS}, " + ", ".join([f"b{i}" for i in k] + [f"round(coalesce(b{i} / nullif({total}, 0), 0), 6) as p{i}" for i in k]) + " from g"
+    return f"with b as (select c, {_BIN} as bin, w from (select {CLASS} as c, {DENSITY}::double as x, {weight} as w from mds_input where {CLASS} is not null)), g as (select c, {sums} from b where bin is not null group by c) select c as {CLASS}, " + ", ".join([f"b{i}" for i in k] + [f"round(coalesce(b{i} / nullif({total}, 0), 0), 6) as p{i}" for i in k]) + f", row_number() over (order by {order.format(total=total)}, c) as place from g"
 
 
-@query(_bins_sql("1"))
+@query(_bins_sql("1", "b3 desc"))
 def density_bins_by_class(spark, d):
     return rounded(stats.bins_by_class(shards(spark, d), CLASS, DENSITY))
 
 
-@query(_bins_sql("coalesce(num_words, 0)"))
+@query(_bins_sql("coalesce(num_words, 0)", "coalesce(b4 / nullif({total}, 0), 0) desc"))
 def density_bins_by_class_words(spark, d):
     return rounded(stats.bins_by_class(shards(spark, d), CLASS, DENSITY, "num_words"))
 
@@ -179,15 +190,21 @@ def plot_limits(spark, d):
     return rounded(stats.plot_limits(shards(spark, d), EDU))
 
 
-@query("""with v as (select row_id, text, substr(text, 1, length(text) // 2) as half, num_words, medical_entity_density::double as density from rewrite_output),
-m as (select case when length(text) > 0 and length(half) > 0 then length(half)::double / length(text) end as char_ratio, num_words::double / nullif(num_words, 0) as word_ratio, density - density as density_diff, density / nullif(density, 0) as density_ratio from v)
-select count(char_ratio) as n_char, round(avg(char_ratio), 6) as mean_char, count(word_ratio) as n_word, count(density_ratio) as n_density, round(avg((density_diff > 0)::int), 6) as share_up from m""")
+_WORDS_OF = lambda c: f"len(regexp_extract_all(coalesce({c}, ''), '{WORD_RE2}'))"
+_STATS = "count(x) as n, round(avg(x), 6) as mean, round(stddev_pop(x), 6) as std, " + ", ".join(f"round(quantile_cont(x, {q}), 6) as q{round(q * 100)}" for q in (0.25, 0.5, 0.75, 0.9))
+
+
+@query(f"""with v as (select length(output)::double / nullif(length(text), 0) as c, {_WORDS_OF('output')}::double / nullif({_WORDS_OF('text')}, 0) as w, output, text from extract_input),
+m as (select 'char_ratio' as "column", case when length(output) > 0 then c end as x from v union all select 'word_ratio', w from v where text is not null and output is not null union all select 'edu_diff', edu_quality_score - edu_quality_normalized_score from scored_docs where not isnan(edu_quality_score) or edu_quality_score is null)
+select "column", {_STATS}, case when "column" = 'edu_diff' then round(avg((x > 0)::int), 6) end as share_positive from m where x is not null group by 1""")
 def before_after_summary(spark, d):
-    r = read(spark, d, "rewrite_output")
-    dens = F.col(DENSITY).cast("double")
-    v = r.select(F.expr("substr(text, 1, length(text) div 2)").alias("text"), F.col("text").alias("original_text"), "num_words", F.col("num_words").alias("original_num_words"), dens.alias(DENSITY), dens.alias(f"original_{DENSITY}"))
-    m = projection.before_after(v)
-    return rounded(m.agg(F.count("char_ratio").alias("n_char"), F.avg("char_ratio").alias("mean_char"), F.count("word_ratio").alias("n_word"), F.count("density_ratio").alias("n_density"), F.avg((F.col("density_diff") > 0).cast("double")).alias("share_up")))
+    e = read(spark, d, "extract_input").where("text is not null and output is not null").select(F.col("output").alias("text"), F.col("text").alias("original_text"))
+    v = projection.before_after(e.withColumns({"num_words": word_count(F.col("text")), "original_num_words": word_count(F.col("original_text"))}))
+    edu = read(spark, d, "scored_docs").where("not isnan(edu_quality_score) or edu_quality_score is null")
+    e2 = projection.before_after(edu.select("edu_quality_score", F.col(EDU).alias("original_edu_quality_score"), F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("original_text"), F.lit(None).cast("int").alias("num_words"), F.lit(None).cast("int").alias("original_num_words")))
+    columns = ["char_ratio", "word_ratio", "edu_diff"]
+    both = v.select("char_ratio", "word_ratio", F.lit(None).cast("double").alias("edu_diff")).unionByName(e2.select(*columns))
+    return rounded(stats.before_after_summary(both))
 
 
 @query()
@@ -307,7 +324,41 @@ def filter_prefilter(spark, d):
 
 @query(f"select row_id, {CLASS} from mds_input where {CLASS} in ({', '.join(repr(t) for t in model_output.TOPICS)}) and {EDU} between 0 and 5")
 def filter_valid_labels(spark, d):
-    return shards(spark, d).where(F.col(CLASS).isin(*model_output.TOPICS) & F.col(EDU).between(0, 5)).select("row_id", CLASS)
+    return shards(spark, d).where(filters.valid_annotation(CLASS, EDU, model_output.TOPICS)).select("row_id", CLASS)
+
+
+@query(f"select row_id from mds_input where {CLASS} is not distinct from 'Others'")
+def filter_equals(spark, d):
+    return shards(spark, d).where(filters.equals(CLASS, "Others")).select("row_id")
+
+
+@query("select row_id from generate_output where length(output) > 0")
+def filter_non_empty(spark, d):
+    return read(spark, d, "generate_output").where(filters.non_empty("output")).select("row_id")
+
+
+@query("select row_id from rewrite_output where case when json_valid(output) then json_extract_string(output, '$.is_rewritable') = 'true' and json_type(output, '$.rewritten_text') = 'VARCHAR' and json_extract_string(output, '$.rewritten_text') <> '' and coalesce(json_type(output, '$.title'), 'NULL') in ('VARCHAR', 'NULL') end")
+def filter_rewritable(spark, d):
+    r = read(spark, d, "rewrite_output").select("row_id", F.when(J.strict(F.col("output")).isNotNull(), model_output.rewriting(F.col("output"))).alias("r"))
+    return r.select("row_id", "r.is_rewritable", "r.text").where(filters.rewritable("is_rewritable", "text")).select("row_id")
+
+
+@query(f"select row_id from mds_input where {DENSITY}::double >= 0.01 and {EDU} >= 1 union all select row_id from scored_docs")
+def filter_stage_prefilter(spark, d):
+    first = shards(spark, d).where(filters.cheap_prefilter()).select("row_id")
+    return first.unionAll(read(spark, d, "scored_docs").where(filters.cheap_prefilter(2)).select("row_id"))
+
+
+@query("select row_id, list_distinct(list_filter(synonyms, lambda x: length(x) > 0 and contains(output, x))) as spans from generate_output where synonyms is not null and output is not null")
+def filter_spans_in_text(spark, d):
+    g = read(spark, d, "generate_output").where("synonyms is not null and output is not null")
+    return g.select("row_id", filters.spans_in_text("synonyms", "output").alias("spans"))
+
+
+@query("select doc_id from documents where source in (select subset from mix_targets)")
+def members_of_table(spark, d):
+    t = read(spark, d, "mix_targets").select(F.col("subset").alias("source"))
+    return projection.members(read(spark, d, "documents").select("doc_id", "source"), "source", t).select("doc_id")
 
 
 @query(r"""with t as (select doc_id, replace(text, chr(13) || chr(10), chr(10)) as t from documents)
@@ -368,10 +419,32 @@ def offset_head(spark, d):
     return sampling.head(read(spark, d, "documents").select("doc_id", "source"), "doc_id", 50, 100)
 
 
-@query(f"select row_id, {DENSITY}::double as density from (select distinct row_id, {DENSITY} from mds_input where {DENSITY} is not null and not isnan({DENSITY})) order by density desc, row_id limit 500")
+@query(f"select row_id, {DENSITY}::double as density from (select distinct row_id, {DENSITY} from mds_input where {DENSITY} is not null and not isnan({DENSITY})) order by density desc, row_id limit 5000")
 def top_by_density(spark, d):
-    x = shards(spark, d).where(f"{DENSITY} is not null and not isnan({DENSITY})").select("row_id", DENSITY).distinct()
-    return x.select("row_id", F.col(DENSITY).cast("double").alias("density")).orderBy(F.desc("density"), "row_id").limit(500)
+    x = sampling.top(shards(spark, d).select("row_id", DENSITY).distinct(), DENSITY, "row_id")
+    return x.select("row_id", F.col(DENSITY).cast("double").alias("density"))
+
+
+@query("select count(*) as n, count(distinct doc_id) as n_distinct, sum(doc_id)::bigint as total, ceil(count(*) / 1000.0::double)::bigint as shards from documents")
+def full_shuffle(spark, d):
+    s = sampling.numbered(sampling.shuffled(read(spark, d, "documents").select("doc_id"), "doc_id").withColumn("h", sampling.order_hash("doc_id")), ["h", "doc_id"])
+    return s.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("row_number").alias("n_distinct"), F.sum("doc_id").alias("total"), F.count_distinct(F.floor(F.col("row_number") / 1000)).alias("shards"))
+
+
+@query("select doc_id, ((row_number() over (order by doc_id) - 1) // 700)::int as shard from documents")
+def row_shards(spark, d):
+    return sampling.shard_rows(read(spark, d, "documents").select("doc_id"), ["doc_id"], 700)
+
+
+@query("select doc_id from (select doc_id, row_number() over (order by doc_id) - 11 as n from documents) where n >= 0 and n < 600 and n % 4 = 1")
+def strided_reader(spark, d):
+    return sampling.strided(read(spark, d, "documents").select("doc_id"), ["doc_id"], 1, 4, skip=10, limit=600)
+
+
+@query("with c as (select source, count(*) as n from documents group by source), t as (select sum(n) as target from c where source is null or source not in ('medweb_fr', 'theses_sante')) select source, case source when 'medweb_fr' then least(n, floor(target * 0.05::double)::bigint) when 'theses_sante' then least(n, floor(target * 0.01::double)::bigint) else n end as n from c, t where case source when 'medweb_fr' then floor(target * 0.05::double) when 'theses_sante' then floor(target * 0.01::double) else n end > 0")
+def target_downsample_count(spark, d):
+    s = sampling.target_sample(read(spark, d, "documents").select("doc_id", "source"), "source", {"medweb_fr": 0.05, "theses_sante": 0.01}, "doc_id")
+    return s.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("select row_id, least(2, len(list_distinct(synonyms)))::int as n from generate_output where len(list_distinct(synonyms)) > 0")
@@ -383,8 +456,21 @@ def choice_count(spark, d):
 
 @query()
 def style_sampling(spark, d):
-    dims = {"register": {"plain": 0.5, "formal": 0.3, "note": 0.2}, "abbreviation": {"none": 0.6, "some": 0.4}}
-    return read(spark, d, "documents").select("doc_id", prompts.draw_styles(F.col("doc_id"), dims).alias("s")).select("doc_id", "s.*")
+    """The style draws of every version."""
+    docs = read(spark, d, "documents").select("doc_id")
+    return docs.select("doc_id", *[prompts.draw_styles(F.col("doc_id"), dims).alias(v) for v, dims in prompts.STYLES.items()]).select("doc_id", *[F.concat_ws("/", *[f"{v}.{x}" for x in dims]).alias(v) for v, dims in prompts.STYLES.items()])
+
+
+@query("select row_id, 'Réécris en fr pour ' || coalesce(audience, '') || ' : ' || coalesce(genre, '') as system_prompt, coalesce(text, '') || chr(10) || 'Fin' as user_prompt from rewrite_output")
+def rewriting_plan(spark, d):
+    r = read(spark, d, "rewrite_output").select("row_id", "text", "genre", "audience")
+    return prompts.plan_rewriting(r, "row_id", "text", "Réécris en {language} pour {audience} : {genre}", "{text}\nFin", "v4", 2).select("row_id", "system_prompt", "user_prompt")
+
+
+@query("select row_id, coalesce(term, '') || ' = ' || coalesce(definition, '') || ' (' || coalesce(array_to_string(synonyms, ', '), '') || ')' as user_prompt from generate_output")
+def generation_plan(spark, d):
+    g = read(spark, d, "generate_output").select("row_id", "term", "definition", "synonyms")
+    return prompts.plan_generation(g, "row_id", "vocabulary", "Dictionnaire.", "{term} = {definition} ({synonyms})", {"wiki": " W", "textbook": " T"}).select("row_id", "user_prompt")
 
 
 # text functions
@@ -449,83 +535,131 @@ def french_spacing(spark, d):
 _CASES = """case doc_id % 6 when 0 then '{"score": ' || (doc_id % 7) || '}' when 1 then '{"score": "' || (doc_id % 6) || '"}' when 2 then '{"score": 3} tail' when 3 then '{"score": 3' when 4 then '{"score": 2, "score": 4}' else '{"score": "x"}' end"""
 
 
-@query("select doc_id, case doc_id % 6 when 0 then (doc_id % 7)::int when 1 then (doc_id % 6)::int when 4 then 4 end as score, case when doc_id % 6 = 0 and doc_id % 7 = 6 then null when doc_id % 6 = 0 then (doc_id % 7)::int when doc_id % 6 = 1 then (doc_id % 6)::int when doc_id % 6 = 4 then 4 end as valid from documents")
+@query(f"""select row_id, {EDU} as score, case when {EDU} between 0 and 5 then {EDU} end as valid from mds_input""")
 def json_strict_score(spark, d):
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    s = F.expr(_CASES)
-    return read(spark, d, "documents").select("doc_id", J.score(s).alias("score"), model_output.valid_score(s).alias("valid"))
+    """Scores written as a model writes them, as numbers or strings, and read again."""
+    s = F.when(F.col("row_id") % 2 == 0, F.to_json(F.struct(F.col(EDU).alias("score")))).otherwise(F.to_json(F.struct(F.col(EDU).cast("string").alias("score"))))
+    return shards(spark, d).select("row_id", J.score(s).alias("score"), model_output.valid_score(s).alias("valid"))
 
 
-@query("""select doc_id, case when doc_id % 3 = 2 then null else '{"b":{"c":' || doc_id || '}}' end as last from documents""")
-def json_last_object(spark, d):
-    s = F.expr("""case doc_id % 3 when 0 then 'a {"x":1} then {"b":{"c":' || doc_id || '}} end' when 1 then '{"b":{"c":' || doc_id || '}}' else 'none {' end""")
-    return read(spark, d, "documents").select("doc_id", J.last_object(s).alias("last"))
+@query("select row_id, json_valid(output) as strict, case when json_valid(output) then json_extract_string(output, '$.format') end as format from rewrite_output where output is not null")
+def json_strict_fields(spark, d):
+    v = J.strict(F.col("output"))
+    return read(spark, d, "rewrite_output").where("output is not null").select("row_id", v.isNotNull().alias("strict"), J.string_field(v, "format").alias("format"))
 
 
-@query("""select doc_id, unnest(case when doc_id % 3 = 0 then ['g' || (doc_id % 5), 'h'] when doc_id % 3 = 1 then ['f1'] else [] end) as genre, unnest(case when doc_id % 3 = 0 then ['a', 'b'] when doc_id % 3 = 1 then ['x'] else [] end) as audience from documents""")
-def proposals_explode(spark, d):
-    out = F.expr("""case doc_id % 3 when 0 then 'analysis assistantfinal{"has_medical_content":true,"proposals":[{"genre":"g' || (doc_id % 5) || '","audience":"a"},{"genre":"h","audience":"b"}]}'
-      when 1 then '{"genre_1":"f1","audience_1":"x","genre_3":"f3","audience_3":"y"}' else '{"has_medical_content":false,"proposals":[{"genre":"g","audience":"a"}]}' end""")
-    df = read(spark, d, "documents").select("doc_id", out.alias("output"))
-    return model_output.explode_proposals(df, "output").drop("output")
+_OBJECT_RE2 = r"\{(?:[^{}]|\{(?:[^{}]|\{[^{}]*\})*\})*\}"
 
 
-@query("""select row_id, (json_extract_string(output, '$.rewritten_text')) as text, json_extract_string(output, '$.title') as title from rewrite_output
-where json_valid(output) and json_type(output, '$.rewritten_text') = 'VARCHAR' and coalesce(json_type(output, '$.title'), 'NULL') in ('VARCHAR', 'NULL')""")
-def rewriting_extract(spark, d):
-    r = read(spark, d, "rewrite_output").where(J.strict(F.col("output")).isNotNull())
-    return r.select("row_id", model_output.rewriting(F.col("output")).alias("r")).where("r.text is not null").select("row_id", "r.text", "r.title")
+@query(f"select row_id, list_last(regexp_extract_all(output, '{_OBJECT_RE2}')) as last from rewrite_output")
+def json_last_object(spark, d):
+    return read(spark, d, "rewrite_output").select("row_id", J.last_object(F.col("output")).alias("last"))
 
 
-@query()
-def rewriting_every(spark, d):
-    """rewriting_extract without its cut to strict JSON, which SQL cannot go beyond: wrapped, prefixed and followed JSON too."""
+_FLAT = range(1, 9)
+
+
+@query("""with p as (select row_id, case when row_id % 2 = 0 then [genre, 'h'] else list_transform(range(1, 9), lambda i: genre || i) end as genre, case when row_id % 2 = 0 then [audience, 'b'] else list_transform(range(1, 9), lambda i: audience || i) end as audience from rewrite_output)
+select row_id, g as genre, a as audience from (select row_id, unnest(genre) as g, unnest(audience) as a from p) where g is not null and a is not null""")
+def proposals_explode(spark, d):
+    """Genres and audiences written as a first stage writes them, nested after a prefix or as eight flat pairs, and read again."""
+    r = read(spark, d, "rewrite_output").select("row_id", "genre", "audience")
+    nested = F.concat(F.lit("analysis assistantfinal"), F.to_json(F.struct(F.lit(True).alias("has_medical_content"), F.array(F.struct("genre", "audience"), F.struct(F.lit("h").alias("genre"), F.lit("b").alias("audience"))).alias("proposals"))))
+    flat = F.to_json(F.struct(*[x for i in _FLAT for x in (F.concat("genre", F.lit(str(i))).alias(f"genre_{i}"), F.concat("audience", F.lit(str(i))).alias(f"audience_{i}"))]))
+    out = model_output.explode_proposals(r.select("row_id", F.when(F.col("row_id") % 2 == 0, nested).otherwise(flat).alias("output")), "output")
+    return out.drop("output")
+
+
+@query(f"""with t as (select row_id, output, case when contains(output, 'assistantfinal') then regexp_replace(substr(output, instr(output, 'assistantfinal') + 14), '^[{WS_RE2}]+', '') else output end as tail from rewrite_output),
+v as (select row_id, case when json_valid(output) then output else list_last(regexp_extract_all(tail, '{_OBJECT_RE2}')) end as v from t)
+select row_id, json_extract_string(v, '$.rewritten_text') as text, json_extract_string(v, '$.title') as title from (select row_id, case when json_valid(v) then v end as v from v)
+where json_type(v, '$.rewritten_text') = 'VARCHAR' and coalesce(json_type(v, '$.title'), 'NULL') in ('VARCHAR', 'NULL')""")
+def rewriting_extract(spark, d):
+    """Rewrites of strict, wrapped, prefixed and followed JSON, over every row."""
     r = read(spark, d, "rewrite_output").select("row_id", model_output.rewriting(F.col("output")).alias("r"))
     return r.where("r.text is not null").select("row_id", "r.text", "r.title")
 
 
-@query(f"""with t as (select row_id, case when regexp_matches(output, '(?im)^[ \t]*#{{1,6}}[ \t]*conversation\\b[^\n\r]*$') then regexp_replace(output, '(?ims)^.*?^[ \t]*#{{1,6}}[ \t]*conversation\\b[^\n\r]*$', '') else output end as t from generate_output where not contains(lower(output), 'conversation') or starts_with(output, '# Conversation')),
-l as (select row_id, list_filter(string_split_regex(case when starts_with(t, '# Conversation') then substr(t, 15) else t end, '\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x{{85}}\\x{{2028}}\\x{{2029}}]'), lambda x: regexp_replace(x, '[{WS_RE2}]+', '', 'g') <> '') as l from t)
-select row_id, regexp_replace(array_to_string(l, chr(10)), '^[{WS_RE2}]+|[{WS_RE2}]+$', '', 'g') as text from l where l is not null""")
+@query("select row_id, coalesce(gen_configs.model, '') as model, to_json(medical_entities)::varchar as entities from rewrite_output where json_valid(output) and json_type(output, '$.rewritten_text') = 'VARCHAR' and coalesce(json_type(output, '$.title'), 'NULL') in ('VARCHAR', 'NULL') and medical_entities is not null and len(list_filter([medical_entities.disease, medical_entities.drug, medical_entities.body_part, medical_entities.medical_procedure, medical_entities.molecular_marker, medical_entities.clinical_device, medical_entities.vital_function, medical_entities.living_beings], lambda x: x is null)) = 0")
+def rewriting_rows(spark, d):
+    r = read(spark, d, "rewrite_output").where(J.strict(F.col("output")).isNotNull())
+    whole = F.col("medical_entities").isNotNull()
+    for k in projection.ENTITY_LABELS:
+        whole = whole & F.col(f"medical_entities.{k}").isNotNull()
+    out = model_output.rewriting_rows(r.where(whole)).where("text is not null")
+    return out.select("row_id", F.coalesce("rewriting_model", F.lit("")).alias("model"), F.col("medical_entities").alias("entities"))
+
+
+@query(f"""with t as (select row_id, case when regexp_matches(output, '(?im)^[ \\t]*#{{1,6}}[ \\t]*conversation\\b[^\\n\\r]*$') then regexp_replace(output, '(?ims)^.*?^[ \\t]*#{{1,6}}[ \\t]*conversation\\b[^\\n\\r]*$', '') else output end as t from generate_output),
+l as (select row_id, t, list_filter(string_split_regex(t, '\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x{{85}}\\x{{2028}}\\x{{2029}}]'), lambda x: regexp_replace(x, '[{WS_RE2}]+', '', 'g') <> '') as l from t)
+select row_id, case when t is not null then regexp_replace(coalesce(array_to_string(l, chr(10)), ''), '^[{WS_RE2}]+|[{WS_RE2}]+$', '', 'g') end as text from l""")
 def dialogue_extract(spark, d):
-    g = read(spark, d, "generate_output").where("output is not null and (not contains(lower(output), 'conversation') or startswith(output, '# Conversation'))")
-    return g.select("row_id", model_output.dialogue(F.col("output")).alias("text"))
+    return model_output.dialogue_rows(read(spark, d, "generate_output").select("row_id", F.col("output").alias("text"))).select("row_id", "text")
 
 
-@query()
-def dialogue_every(spark, d):
-    """dialogue_extract over every output, also where the header stands further down."""
-    return read(spark, d, "generate_output").select("row_id", model_output.dialogue(F.col("output")).alias("text"))
+_EVERY = "list_distinct(list_filter(flatten([" + ", ".join(f"coalesce(medical_entities.{k}, [])" for k in projection.ENTITY_LABELS) + "]), lambda x: length(x) > 0))"
 
 
-_ENT = "case when contains(text, 'patient') then ['patient'] else [] end || case when contains(text, 'dose') then ['dose'] else [] end"
+def _items(make: Callable[[str, Column], Column], *more: Column) -> Column:
+    """One array of what make gives for each entity of medical_entities and its label."""
+    none = F.array().cast("array<string>")
+    return F.concat(*[F.transform(F.coalesce(F.col(f"medical_entities.{k}"), none), partial(make, k)) for k in projection.ENTITY_LABELS], *more)
 
 
-@query(f"""with e as (select doc_id, text, {_ENT} as e from documents where text is not null)
-select doc_id, len(e)::int as n, round(coalesce(list_sum([length(text) - length(replace(text, x, '')) for x in e]), 0)::double / greatest(length(text), 1), 5) as density from e""")
+def entity_columns() -> Column:
+    """medical_entities as map<label, array<string>>."""
+    none = F.array().cast("array<string>")
+    return F.map_from_entries(F.array(*[F.struct(F.lit(k).alias("key"), F.filter(F.coalesce(F.col(f"medical_entities.{k}"), none), lambda x: x.isNotNull()).alias("value")) for k in projection.ENTITY_LABELS]))
+
+
+@query(f"""with e as (select row_id, text, {_EVERY} as e from rewrite_output where text is not null)
+select row_id, round(coalesce(list_sum([length(text) - length(replace(text, x, '')) for x in e]), 0)::double / greatest(length(text), 1), 5) as density from e""")
 def entities_density(spark, d):
-    out = F.lit('{"entities":[{"entity":"living_beings","text":["patient"," patient ","zzqq"]},{"entity":"drug","text":"dose"},{"entity":"unknown","text":"a"}]}')
-    m = read(spark, d, "documents").where("text is not null").select("doc_id", "text", model_output.entity_map(out, F.col("text")).alias("m"))
-    return m.select("doc_id", F.size(F.flatten(F.map_values("m"))).alias("n"), F.round(model_output.density(F.col("m"), F.col("text")).cast("double"), 5).alias("density"))
+    r = read(spark, d, "rewrite_output").where("text is not null")
+    return r.select("row_id", F.round(model_output.density(entity_columns(), F.col("text")).cast("double"), 5).alias("density"))
+
+
+@query("with i as (" + " union all ".join(f"select row_id, text, '{k}' as label, list_distinct(list_filter(list_transform(medical_entities.{k}, lambda x: trim(x)), lambda x: length(x) > 0 and contains(text, x))) as spans from rewrite_output where text is not null" for k in projection.ENTITY_LABELS) + ") select row_id, label, len(spans)::int as n from i where len(spans) > 0")
+def entities_parse(spark, d):
+    """The entities of each row written as a model writes them, with a label and a text that are not its own, and read again."""
+    items = _items(lambda k, x: F.struct(F.lit(k).alias("entity"), F.array(x, F.concat(x, F.lit("\u2603"))).alias("text")), F.array(F.struct(F.lit("unknown").alias("entity"), F.array(F.lit("a")).alias("text"))))
+    r = read(spark, d, "rewrite_output").where("text is not null").select("row_id", "text", F.to_json(F.struct(items.alias("entities"))).alias("output"))
+    m = r.select("row_id", F.explode(model_output.entity_map(F.col("output"), F.col("text"))).alias("label", "spans"))
+    return m.select("row_id", "label", F.size("spans").alias("n"))
 
 
-@query("select source, array_to_string(list_sort(list_distinct(list_filter(list(lang), lambda x: x is not null))), ',') as langs from documents group by source")
+@query("with i as (" + " union all ".join(f"select row_id, '{k}' as label, list_sort(list_distinct(list_filter(list_concat(coalesce(medical_entities.{k}, []), list_transform(coalesce(medical_entities.{k}, []), lambda x: x || '*')), lambda x: length(x) > 0))) as merged from rewrite_output" for k in projection.ENTITY_LABELS) + ") select row_id, label, array_to_string(merged, '|') as merged from i where len(merged) > 0")
 def entity_merge(spark, d):
-    m = read(spark, d, "documents").select("source", F.create_map(F.lit("lang"), F.array(F.coalesce("lang", F.lit("")))).alias("m"))
-    return _merged(m)
+    """The entities of each row merged with the same under a mark, as finds of two windows are."""
+    m = entity_columns()
+    other = F.transform_values(m, lambda k, v: F.transform(v, lambda x: F.concat(x, F.lit("*"))))
+    r = read(spark, d, "rewrite_output").select("row_id", F.explode(model_output.merge_entities(F.array(m, other))).alias("label", "merged"))
+    return r.select("row_id", "label", F.array_join("merged", "|").alias("merged"))
 
 
-def _merged(m):
-    per = m.groupBy("source").agg(F.collect_set(F.col("m")["lang"]).alias("l"))  # at most one set per source and language
-    maps = F.transform("l", lambda x: F.create_map(F.lit("lang"), x))
-    return per.select("source", F.coalesce(F.array_join(model_output.merge_entities(maps)["lang"], ","), F.lit("")).alias("langs"))
+@query("select row_id, " + ", ".join(f"coalesce(len(medical_entities.{k}), 0)::int as {k}" for k in projection.ENTITY_LABELS) + " from rewrite_output")
+def entities_json_roundtrip(spark, d):
+    r = read(spark, d, "rewrite_output").select("row_id", projection.entities_from_json(projection.entities_to_json(F.col("medical_entities"))).alias("e"))
+    return r.select("row_id", *[F.size(f"e.{k}").alias(k) for k in projection.ENTITY_LABELS])
+
+
+@query("select row_id, gen_configs.model as model, gen_configs.temperature::float as temperature, null::varchar as added, num_words::bigint as num_words from rewrite_output")
+def cast_declared(spark, d):
+    r = projection.cast_columns(read(spark, d, "rewrite_output").select("row_id", "gen_configs", "num_words"), {"gen_configs": "model string, temperature float, added string", "num_words": "bigint", "absent": "int"})
+    return r.select("row_id", "gen_configs.*", "num_words")
 
 
 @query()
 def ner_align(spark, d):
-    df = read(spark, d, "documents").select("doc_id", "text").where("text is not null")
-    ents = F.array(F.struct(F.lit("living_beings").alias("label"), F.lit("patient").alias("entity")), F.struct(F.lit("drug").alias("label"), F.lit("dose").alias("entity")))
-    return df.select("doc_id", F.explode(model_output.align_entities(F.col("text"), ents)).alias("s")).select("doc_id", "s.*")
+    """Token spans of the entities of each row in its text."""
+    items = _items(lambda k, x: F.struct(F.lit(k).alias("label"), x.alias("entity")))
+    r = read(spark, d, "rewrite_output").where("text is not null").select("row_id", model_output.align_entities(F.col("text"), items).alias("a"))
+    return r.select("row_id", F.size("a.tokenized_text").alias("n_tokens"), F.explode("a.ner").alias("s")).select("row_id", "n_tokens", "s.*")
+
+
+@query("select row_id, translate(output, '’‘‛–—', '--') as text from extract_input")
+def straight_marks(spark, d):
+    return read(spark, d, "extract_input").select("row_id", model_output.straight_marks(F.col("output")).alias("text"))
 
 
 # corpus operators
@@ -559,11 +693,12 @@ def language_identity(spark, d):
     return quality.identify(read(spark, d, "documents").select("doc_id", "text")).select("doc_id", "language", "language_score")
 
 
-@query("select row_id, length(text)::bigint as n_chars, true as bounded from split_input where text is not null")
+@query("select row_id, length(text)::bigint as n_chars, 0::bigint as n_over from split_input where text is not null")
 def chunk_invariants(spark, d):
+    """Chunks give back their text, and none is over the limit."""
     s = read(spark, d, "split_input").select("row_id", "text", F.xxhash64("ingested_at", "crawled_at").alias("delivery")).where("text is not null")
     c = chunking.split_documents(s, 4000, chunking.CharTokenizer)
-    return c.groupBy("row_id", "delivery").agg(F.sum(F.length("text")).cast("long").alias("n_chars"), (F.max(F.length("text")) <= 4000).alias("bounded")).drop("delivery")
+    return c.groupBy("row_id", "delivery").agg(F.sum(F.length("text")).cast("long").alias("n_chars"), F.count_if(F.length("text") > 4000).alias("n_over")).drop("delivery")
 
 
 @query()
@@ -624,26 +759,29 @@ def mse_accuracy_f1(spark, d):
 
 
 def _pairs(spark, d):
-    m = read(spark, d, "rewrite_output").select("row_id", "text", "medical_entities").dropDuplicates(["row_id"])
+    m = latest(read(spark, d, "rewrite_output"), "row_id", ["finished_at", "ingested_at"], ["medical_entities"])
     e = projection.entity_struct(F.col("medical_entities"))
-    gold = F.map_from_entries(F.array(*[F.struct(F.lit(k).alias("key"), e[k].alias("value")) for k in ("disease", "drug")]))
-    pred = F.map_from_entries(F.array(*[F.struct(F.lit(k).alias("key"), F.filter(e[k], lambda x: F.length(x) % 2 == 0).alias("value")) for k in ("disease", "drug")]))
-    df = m.select("row_id", gold.alias("gold"), pred.alias("pred"))
+    side = lambda keep: F.map_from_entries(F.array(*[F.struct(F.lit(k).alias("key"), F.filter(e[k], keep).alias("value")) for k in projection.ENTITY_LABELS]))
+    df = m.select("row_id", side(lambda x: x.isNotNull()).alias("gold"), side(lambda x: F.length(x) % 2 == 0).alias("pred"))
     return df, evaluate.entity_pairs(df, "row_id", "gold", "pred")
 
 
-_NER = """with m as (select distinct on (row_id) row_id, medical_entities as e from rewrite_output order by row_id), l as (select row_id, 'disease' as label, unnest(e.disease) as x from m union all select row_id, 'drug', unnest(e.drug) from m),
-g as (select distinct row_id, label, lower(trim(x)) as x from l where trim(x) <> ''), p as (select distinct row_id, label, lower(trim(x)) as x from l where trim(x) <> '' and length(x) % 2 = 0),
+_NER = (
+    "with m as (select row_id, medical_entities as e from (select *, row_number() over (partition by row_id order by finished_at desc, ingested_at desc, medical_entities desc nulls last) as rn from rewrite_output) where rn = 1), l as ("
+    + " union all ".join(f"select row_id, '{k}' as label, unnest(e.{k}) as x from m" for k in projection.ENTITY_LABELS)
+    + """), g as (select distinct row_id, label, lower(trim(x)) as x from l where trim(x) <> ''), p as (select distinct row_id, label, lower(trim(x)) as x from l where trim(x) <> '' and length(x) % 2 = 0),
 b as (select row_id, label, true as in_gold, (row_id, label, x) in (select (row_id, label, x) from p) as in_pred from g)"""
+)
 
 
 @query(_NER + """, c as (select label, count_if(in_pred) as tp, count(*) as gold, count_if(in_pred) as pred from b group by label), r as (select label, coalesce(tp / nullif(pred, 0)::double, 0) as precision, tp / gold::double as recall, 2.0::double * tp / (gold + pred) as f1, gold as support, tp, pred from c)
 select label, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1, support from r
 union all select 'micro', round(coalesce(sum(tp) / nullif(sum(pred), 0)::double, 0), 6), round(sum(tp) / sum(support)::double, 6), round(2.0::double * sum(tp) / (sum(support) + sum(pred)), 6), sum(support)::bigint from r
 union all select 'macro', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support)::bigint from r
-union all select 'weighted', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), sum(support)::bigint from r""")
+union all select 'weighted', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), sum(support)::bigint from r
+union all select 'samples', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), sum(g)::bigint from (select coalesce(count_if(in_pred) / nullif(count_if(in_pred), 0)::double, 0) as p, count_if(in_pred) / count(*)::double as r, 2.0::double * count_if(in_pred) / (count(*) + count_if(in_pred)) as f, count(*) as g from b group by row_id)""")
 def ner_report(spark, d):
-    return rounded(evaluate.entity_report(_pairs(spark, d)[1]))
+    return rounded(evaluate.entity_report(_pairs(spark, d)[1], "row_id"))
 
 
 @query(_NER + """, n as (select count(*)::double as docs from m), per as (select row_id, label, count(*) as g, count_if(in_pred) as p from b group by row_id, label), u as (select * from per union all select row_id, 'TOTAL', sum(g), sum(p) from per group by row_id)
@@ -677,23 +815,17 @@ def vocabulary_coverage(spark, d):
     return rounded(evaluate.vocabulary_coverage(t, "tokens", read(spark, d, "token_pieces").select(F.col("piece").alias("token"))))
 
 
-@query("select label, row_number() over (order by label) - 1 as id from (select distinct source as label from documents where source is not null)")
+@query("select label, row_number() over (order by label) - 1 as id from (select source as label from documents where source is not null union select subset from scored_docs where subset is not null)")
 def label_ids(spark, d):
-    return evaluate.label_ids(read(spark, d, "documents"), "source")
+    return evaluate.label_ids(read(spark, d, "documents"), "source", read(spark, d, "scored_docs").select(F.col("subset").alias("source")))
 
 
-@query("select row_id, list_contains(synonyms, term)::int as same, (len(synonyms) > 0)::int as any_ from generate_output where term is not null and synonyms is not null and len(list_filter(synonyms, lambda x: x is null)) = 0")
+@query("select row_id, " + ", ".join(f"(len(coalesce(medical_entities.{k}, [])) > 0)::int as {k}" for k in projection.ENTITY_LABELS) + " from rewrite_output")
 def multi_hot(spark, d):
-    g = read(spark, d, "generate_output").where("term is not null and synonyms is not null and not exists(synonyms, x -> x is null)")
-    return g.select("row_id", F.array_contains("synonyms", F.col("term")).cast("int").alias("same"), (F.size("synonyms") > 0).cast("int").alias("any_"))
-
-
-@query()
-def multi_hot_entities(spark, d):
-    """The entity types of each rewrite over the fixed list of types, by the operator that multi_hot's SQL has no words for."""
-    e = {k: F.col(f"medical_entities.{k}") for k in projection.ENTITY_LABELS}
-    labels = F.array_compact(F.array(*[F.when(F.size(v) > 0, F.lit(k)) for k, v in e.items()]))
-    return read(spark, d, "rewrite_output").select("row_id", evaluate.multi_hot(labels, list(e)).alias("hot"))
+    """The entity types of each rewrite over the fixed list of types."""
+    labels = F.array_compact(F.array(*[F.when(F.size(f"medical_entities.{k}") > 0, F.lit(k)) for k in projection.ENTITY_LABELS]))
+    hot = read(spark, d, "rewrite_output").select("row_id", evaluate.multi_hot(labels, list(projection.ENTITY_LABELS)).alias("h"))
+    return hot.select("row_id", *[F.col("h")[i].alias(k) for i, k in enumerate(projection.ENTITY_LABELS)])
 
 
 @query(f"select count(*) as n_over, coalesce(sum({N_WORDS} - 512), 0)::bigint as n_lost from documents where {N_WORDS} > 512")
@@ -701,9 +833,11 @@ def over_limit(spark, d):
     return evaluate.over_limit(docs_with_words(spark, d), "n_words", 512)
 
 
-@query(f"select count(*) as n_docs, sum({N_WORDS})::bigint as n_words from documents")
+@query(f"""with d as (select text, {N_WORDS} as n from documents) select 'before' as stage, count(*) as n_docs, sum(n)::bigint as n_words from d union all select 'after', count(*), sum(n)::bigint from (select distinct text, n from d)""")
 def corpus_counts(spark, d):
-    return docs_with_words(spark, d).agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_words").alias("n_words"))
+    """Documents and words before and after exact deduplication."""
+    x = read(spark, d, "documents").select("doc_id", "text")
+    return stats.corpus_counts({"before": x, "after": dedup.exact(x, "text", "doc_id")}, "text")
 
 
 @query("""select row_id, subset, annotated_at from (select *, row_number() over (partition by row_id order by annotated_at desc, ingested_at desc, subset desc) as rn from scored_docs) where rn = 1""")
@@ -723,9 +857,18 @@ def text_pairs(spark, d):
     return read(spark, d, "generate_output").select("row_id", builders.build("x/pairs", [("pairs", lambda: builders.pair("term", "definition"))]).alias("text"))
 
 
-@query("select row_id, array_to_string(synonyms, ' ') as text from generate_output where synonyms is not null and len(list_filter(synonyms, lambda x: x is null)) = 0")
+@query("select row_id, array_to_string(synonyms, ' ') as text from generate_output")
 def text_token_list(spark, d):
-    return read(spark, d, "generate_output").where("synonyms is not null and not exists(synonyms, x -> x is null)").select("row_id", builders.token_list("synonyms").alias("text"))
+    return read(spark, d, "generate_output").select("row_id", builders.token_list("synonyms").alias("text"))
+
+
+@query("""select row_id, term || '   ' || definition as segments, ' ' || term || '  (1) ' || definition || '  (2) ' || text || '  (3) ' || output || ' ' as numbered, lower(output) as lowered, array_to_string(synonyms, ' ') as tokens from generate_output""")
+def evaluation_texts(spark, d):
+    g = read(spark, d, "generate_output")
+    names = {"source": "term", "cible": "definition", "cible_1": "definition", "cible_2": "text", "cible_3": "output", "clinical_case": "output", "tokens": "synonyms"}
+    g = g.select("row_id", *[F.col(old).alias(new) for new, old in names.items()])
+    at = builders.evaluation_text
+    return g.select("row_id", at("/x/deft2020/data/local_hf_task_1").alias("segments"), at("/x/deft2020/data/local_hf_task_2").alias("numbered"), at("/x/diamed/data/local_hf_None").alias("lowered"), at("/x/essai/data/local_hf_pos").alias("tokens"))
 
 
 @query("select source, case when n <= 2 then 'a' else 'b' end as part from (select source, ntile(4) over (order by source) as n from (select distinct source from documents where source is not null))")
@@ -739,14 +882,16 @@ def density_by_extracted(spark, d):
     return rounded(read(spark, d, "rewrite_output").select("row_id", builders.extracted_density(F.col("medical_entities"), F.col("text")).alias("density")))
 
 
-@query(f"select {CLASS}, round(quantile_cont({EDU}, 0.5), 6) as median_before, round(quantile_cont(num_words, 0.5), 6) as median_after, count({EDU}) as n_before, count(num_words) as n_after from mds_input where {CLASS} is not null and coalesce({EDU}, num_words) is not null group by {CLASS}")
+@query(f"""with v as (select genre, case when text is not null then {_WORDS_OF('text')} end as b, case when output is not null then {_WORDS_OF('output')} end as a from extract_input)
+select genre, round(quantile_cont(b, 0.5), 6) as median_before, round(quantile_cont(a, 0.5), 6) as median_after, count(b) as n_before, count(a) as n_after from v where genre is not null and coalesce(a, b) is not null group by genre""")
 def paired_medians(spark, d):
-    return rounded(builders.paired_medians(shards(spark, d), CLASS, EDU, "num_words"))
+    n = lambda c: F.when(F.col(c).isNotNull(), word_count(F.col(c)))
+    return rounded(builders.paired_medians(read(spark, d, "extract_input").select("genre", n("text").alias("before"), n("output").alias("after")), "genre", "before", "after"))
 
 
-@query("select distinct source from documents where source is not null and source not in (select name from mds_input where name is not null)")
+@query("select distinct lang from extract_input where lang is not null and lang not in (select lang from documents where lang is not null)")
 def labels_missing(spark, d):
-    return builders.labels_missing(shards(spark, d).select(F.col("name").alias("source")), read(spark, d, "documents"), "source")
+    return builders.labels_missing(read(spark, d, "documents"), read(spark, d, "extract_input"), "lang")
 
 
 @query(f"select name, round(avg(case when {EDU} between 1 and 5 then {EDU} end), 6) as mean_{EDU}, count(case when {EDU} between 1 and 5 then 1 end) as n_{EDU} from mds_input group by name")

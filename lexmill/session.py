@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -23,14 +25,18 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder: the one named in spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The checkpoint folder: the one set already, or the one named in spark.checkpoint.dir. Where neither is, a session inside one process
+    (tests) gets a temporary one; on a cluster, whose executors could not share it, that is an error."""
     sc = spark.sparkContext
+    if (current := sc.getCheckpointDir()) is not None:
+        return current
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if current is None:
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lexmill-checkpoint-"))
-        current = sc.getCheckpointDir()
-    return current
+    if not named:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="lexmill-checkpoint-")
+    sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def test_nested_zip_and_lines(spark, tmp_path):
 
 
 def test_partitioned_and_resumed(spark, tmp_path):
-    df = spark.range(100).selectExpr("id", "if(id % 2 = 0, 'Big Label', 'b') as label", "if(id < 5, 'short', null) as reason", "if(id < 90, 'train', 'validation') as split")
+    df = spark.range(100).selectExpr("id", "if(id % 2 = 0, 'Big Label', 'b') as label", "if(id < 5, 'short', null) as reason", "if(id < 90, 'train', 'validation') as split", "'t' as text")
     sinks.write_by_label(df, "label", str(tmp_path / "l"))
     assert (tmp_path / "l" / "label_slug=big_label").exists()
     sinks.write_reasons(df, "reason", str(tmp_path / "k"), str(tmp_path / "r"))

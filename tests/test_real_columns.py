@@ -12,9 +12,8 @@ def _rows(small):
 
 
 def test_multi_hot_of_entity_types(spark, small):
-    want = sorted((r["row_id"], [int(bool((r["medical_entities"] or {}).get(k))) for k in ENTITY_LABELS]) for r in _rows(small))
-    got = sorted((r.row_id, r.hot) for r in plans.queries()["multi_hot_entities"](spark, small).collect())
-    assert got == want and any(map(any, (h for _, h in got)))
+    want = sorted((r["row_id"], *(int(bool((r["medical_entities"] or {}).get(k))) for k in ENTITY_LABELS)) for r in _rows(small))
+    assert sorted(map(tuple, plans.queries()["multi_hot"](spark, small).collect())) == want and any(any(h) for _, *h in want)
 
 
 def test_before_after_of_rewritten_text(spark, small):

@@ -42,15 +42,15 @@ def _same(df, want):
 def test_rewriting_of_every_row(spark, small):
     table = pq.read_table(f"{small}/rewrite_output.parquet", columns=["row_id", "output"]).to_pylist()
     want = [(r["row_id"], *got) for r in table if r["output"] is not None and (got := _rewriting(r["output"]))]
-    _same(plans.queries()["rewriting_every"](spark, small), want)
-    assert len(want) > plans.queries()["rewriting_extract"](spark, small).count()
+    _same(plans.queries()["rewriting_extract"](spark, small), want)
+    assert len(want) > sum(r["output"] is not None and r["output"].startswith("{") and r["output"].endswith("}") for r in table)
 
 
 def test_rewriting_fixtures(spark, tmp_path):
     good = '{"is_rewritable": true, "rewritten_text": "a b", "title": "t"}'
     outputs = [good, f"```json\n{good}\n```", f'analysis {{"rewritten_text": "no"}} assistantfinal{good}', f"{good}\nEnd.", good[:-9], '{"rewritten_text": 3}', None, "", "prose"]
     pq.write_table(pa.table({"row_id": range(len(outputs)), "output": outputs}), tmp_path / "rewrite_output.parquet")
-    _same(plans.queries()["rewriting_every"](spark, str(tmp_path)), [(i, "a b", "t") for i in range(4)])
+    _same(plans.queries()["rewriting_extract"](spark, str(tmp_path)), [(i, "a b", "t") for i in range(4)])
 
 
 def test_dialogue_of_every_row(spark, small, tmp_path):
@@ -58,4 +58,4 @@ def test_dialogue_of_every_row(spark, small, tmp_path):
     more = ["Intro\n\n## Conversation: x\n\nA: b\n\nB: c\n", "a conversation without header\n\nb", "# conversation\r\nA: b", None, ""]
     table = pa.concat_tables([table, pa.table({"row_id": range(10**9, 10**9 + len(more)), "output": more}, schema=table.schema)])
     pq.write_table(table, tmp_path / "generate_output.parquet")
-    _same(plans.queries()["dialogue_every"](spark, str(tmp_path)), [(r["row_id"], None if r["output"] is None else _dialogue(r["output"])) for r in table.to_pylist()])
+    _same(plans.queries()["dialogue_extract"](spark, str(tmp_path)), [(r["row_id"], None if r["output"] is None else _dialogue(r["output"])) for r in table.to_pylist()])
