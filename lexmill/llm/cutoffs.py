@@ -110,7 +110,7 @@ def cutoffs(rows: DataFrame, slices: DataFrame) -> tuple[DataFrame, DataFrame]:
     null cutoff and keeps none.
     """
     spark = rows.sparkSession
-    bounded_batches(spark, rows=65_536)
+    bounded_batches(spark)
     base = cut_lineage(slice_rows(rows, slices))
     compact = cut_lineage(base.select("slice_id", "score").mapInArrow(_compact, "slice_id int, v array<double>, c array<bigint>"))
     inf = float("inf")

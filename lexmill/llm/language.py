@@ -209,7 +209,7 @@ def passages(rows: DataFrame, samples: DataFrame, sample_rows: int = SAMPLE_ROWS
 
     One passage for a text in one language; texts without words (null, blank, numbers) give one row without language. Repeated rows
     come out as often. No shuffle; the dictionaries go out with the function and are at most DICT_BYTES per language."""
-    bounded_batches(rows.sparkSession, rows=1024)
+    bounded_batches(rows.sparkSession)
     texts = {k: v.encode()[-DICT_BYTES:].decode(errors="ignore") for k, v in fit(samples, rows, sample_rows).items()}
     kind = "row_id bigint, passage int, start_pos bigint, end_pos bigint, words bigint, share double, lang string, confidence double, label_langs array<string>"
     return spread(rows.select("row_id", "lang", "output")).mapInArrow(_segments(texts), kind)

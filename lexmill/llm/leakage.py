@@ -367,7 +367,7 @@ def leaks(docs: DataFrame, items: DataFrame, block: int = BLOCK_ITEMS) -> DataFr
     blocks of at most `block`, each a pass over the corpus. Null and empty texts and stems leak nothing; stems under WINDOW words must be
     contained whole; a repeated doc_id comes out as often."""
     spark = docs.sparkSession
-    bounded_batches(spark, rows=2048, mb=4)
+    bounded_batches(spark)
     wanted = [(r.item_id, r.stem) for r in items.select("item_id", "stem").where("item_id is not null").orderBy("item_id").toLocalIterator()]
     out = spark.createDataFrame([], KIND)
     for a in range(0, len(wanted), block):

@@ -83,4 +83,7 @@ def pack(docs: DataFrame, token_pieces: DataFrame, capacity: int = CAPACITY, gro
     tokens = count_tokens(docs.select("doc_id", "text"), load(token_pieces)).where("n_tokens > 0")
     groups = max(1, -(-docs.count() // group_docs))
     grouped = tokens.withColumn("_g", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int"))
+    # an explicit number of partitions, as groups are small in bytes but not in work, and would be coalesced to one task
+    tasks = min(groups, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    grouped = grouped.repartition(tasks, "_g")
     return grouped.groupBy("_g").applyInPandas(_pack(capacity), "container bigint, doc_id bigint, piece int, pieces int, n_tokens bigint, fill bigint")

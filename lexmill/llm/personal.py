@@ -105,6 +105,10 @@ def features(word: str) -> list[str]:
     return out
 
 
+def _kind(word: str) -> tuple[tuple[str, ...], str]:
+    return tuple(features(word)), coarse(word)
+
+
 class Crf:
     """vocabulary: feature -> row; weight[row, role, tag]; step[tag, tag], first[tag], last[tag]; before and after [class pair, tag]: of a
     token with the one before, and with the one after it."""
@@ -145,15 +149,15 @@ class Gather:
 
     def sum(self, rows: np.ndarray) -> np.ndarray:
         out = np.zeros((self.size, rows.shape[1]), rows.dtype)
-        out[self.at] = np.add.reduceat(rows[self.order], self.first)
+        out[self.at] = np.add.reduceat(rows.take(self.order, 0), self.first)
         return out
 
 
 @lru_cache(maxsize=2)
-def train(clean: tuple[str, ...] = (), seed: int = 1, rounds: int = 60, rate: float = 0.12, decay: float = 2e-5) -> Crf:
+def train(clean: tuple[str, ...] = (), seed: int = 1, rounds: int = 45, rate: float = 0.12, decay: float = 2e-5) -> Crf:
     """Fit on the labelled table and on clean lines, which hold no personal information."""
     rows = table.table(seed) + [(t, []) for t in clean]
-    seqs, tags = [], []
+    seqs, tags, kinds = [], [], {}
     for text, spans in rows:
         t = tokens(text)
         y = np.zeros(len(t), np.int64)
@@ -162,13 +166,14 @@ def train(clean: tuple[str, ...] = (), seed: int = 1, rounds: int = 60, rate: fl
             base = 1 + 2 * KINDS.index(kind)
             for n, i in enumerate(inside):
                 y[i] = base + (n > 0)
-        seqs.append([text[a:z] for a, z in t])
+        seqs.append([kinds[w] if (w := text[a:z]) in kinds else kinds.setdefault(w, _kind(w)) for a, z in t])
         tags.append(y)
+    # Words with the same features are one type: most words are, as a feature is a shape or a class.
     types = {w: i for i, w in enumerate(sorted({w for s in seqs for w in s}))}
-    feats = [features(w) for w in types]
+    feats = [fs for fs, _ in types]
     seen: dict[str, int] = {}
     for s in seqs:
-        for f in {f for w in set(s) for f in feats[types[w]]}:
+        for f in {f for fs, _ in set(s) for f in fs}:
             seen[f] = seen.get(f, 0) + 1
     vocabulary = {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= 3))}
     pairs = np.array([(t, vocabulary[f]) for t, fs in enumerate(feats) for f in fs if f in vocabulary])
@@ -188,7 +193,7 @@ def train(clean: tuple[str, ...] = (), seed: int = 1, rounds: int = 60, rate: fl
         y[off[: size[r]] + r] = tags[i]
     near = [np.concatenate([x[: reach[t], FAR + t + d] for t in range(width)]) for d in ROLES]
     end = off[size - 1] + np.arange(n)
-    classes = np.array([*(_PLACE[coarse(w)] for w in types), 0])
+    classes = np.array([*(_PLACE[c] for _, c in types), 0])
     pair = [classes[near[a]] * len(COARSE) + classes[near[a + 1]] for a in (FAR - 1, FAR)]
     real = np.float32
     params = [np.zeros((len(vocabulary), len(ROLES), K), real), np.zeros((K, K), real), np.zeros(K, real), np.zeros(K, real)]
@@ -440,11 +445,11 @@ def clean_lines(*texts: DataFrame, limit: int = CLEAN_ROWS) -> tuple[str, ...]:
 def find(docs: DataFrame, clean: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, kind, start_pos, end_pos (code points), found: one row per span; no shuffle. docs: doc_id, text; other columns are
     ignored. Null and empty texts give none; a repeated doc_id gives its spans as often."""
-    bounded_batches(docs.sparkSession, rows=1024, mb=4)
+    bounded_batches(docs.sparkSession)
     return spread(docs.select("doc_id", "text")).mapInArrow(_find(train(clean), False), "doc_id bigint, kind string, start_pos bigint, end_pos bigint, found string")
 
 
 def redact(docs: DataFrame, clean: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text with typed placeholders, n_found. Null text stays null."""
-    bounded_batches(docs.sparkSession, rows=1024, mb=4)
+    bounded_batches(docs.sparkSession)
     return spread(docs.select("doc_id", "text")).mapInArrow(_find(train(clean), True), "doc_id bigint, text string, n_found int")

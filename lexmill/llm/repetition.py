@@ -189,7 +189,7 @@ def repetition(rewrites: DataFrame, generated: DataFrame, min_run: int = MIN_RUN
     """record_table, row_id, words, repeated_words, longest_repeat, share for every delivered row of both tables; no shuffle.
 
     Both need row_id and output. Null, empty and unreadable outputs have 0 words and share 0; repeated rows come out as often."""
-    bounded_batches(rewrites.sparkSession, rows=1024)
+    bounded_batches(rewrites.sparkSession)
     one = lambda df, name: df.select("row_id", F.lit(name).alias("record_table"), "output")
     both = one(rewrites, "rewrite_output").unionByName(one(generated, "generate_output"))
     kind = "record_table string, row_id bigint, words bigint, repeated_words bigint, longest_repeat bigint, share double"

@@ -122,6 +122,6 @@ def split(docs: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, with_text
     A null text gives one row with null text and no extent, an empty one one empty piece; repeated rows are split each time."""
     if not 0 <= overlap < limit:
         raise ValueError("overlap must be smaller than limit")
-    bounded_batches(docs.sparkSession, rows=512)
+    bounded_batches(docs.sparkSession)
     kind = "row_id bigint, piece int, start_pos bigint, overlap int, end_pos bigint, cut string, text string, longest_run bigint"
     return spread(docs.select("row_id", "text")).mapInArrow(_split(limit, overlap, with_text), kind)

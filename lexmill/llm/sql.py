@@ -23,6 +23,18 @@ select distinct m.subset from mix_targets m left join w on w.subset = lower({_ST
 where coalesce(w.words, 0) * m.max_repeats < m.target_share * t.total
 """
 
+P1_SIZES = f"""
+with v as (
+  select lower({_STRIP % 'subset'}) as subset, {_WORDS} as words,
+         row_number() over (partition by row_id order by annotated_at desc, ingested_at desc) as rn
+  from scored_docs
+), w as (select subset, sum(words) as words from v where rn = 1 group by subset),
+t as (select sum(words) as total from w),
+r as (select m.subset, coalesce(w.words, 0)::bigint as words, m.max_repeats, coalesce(w.words, 0) * m.max_repeats >= m.target_share * t.total as reachable
+      from mix_targets m left join w on w.subset = lower({_STRIP % 'm.subset'}), t)
+select subset, words, reachable, case when not reachable then words * max_repeats end as all_words, true as near, true as within from r
+"""
+
 P4 = """
 with v as (
   select *, row_number() over (partition by row_id order by scored_at desc, ingested_at desc) as rn from mds_input
@@ -90,6 +102,14 @@ with s as (
 select distinct row_id, 'oversized' as kind from s union select distinct row_id, 'unbroken' from s where run > 6000
 """
 
+P5_TILING = "select row_id, length(text)::bigint as n_chars, 0::bigint as n_over, 0::bigint as n_wrong from (select distinct row_id, text from split_input) where text is not null"
+
+P7_TOKENS = _CUT % "documents" + f""", t as (select doc_id, unnest(regexp_extract_all(text, '{WORD_RE2}')) as word from documents)
+select doc_id, sum(n)::bigint as n_tokens from t join size using (word) group by doc_id
+"""
+P7_FILL = _CUT % "documents" + f""", t as (select unnest(regexp_extract_all(text, '{WORD_RE2}')) as word from documents)
+select sum(n)::bigint as n_tokens, 0::bigint as n_wrong, true as tight from t join size using (word)
+"""
 P7_FOUND = _CUT % "documents" + f""", t as (select doc_id, unnest(regexp_extract_all(text, '{WORD_RE2}')) as word from documents)
 select doc_id from t join size using (word) group by doc_id having sum(n) > 2048
 """
@@ -97,6 +117,6 @@ select doc_id from t join size using (word) group by doc_id having sum(n) > 2048
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "p1_found": P1_FOUND, "p3_token_budget": P3_TOKEN_BUDGET, "p3_row_tokens": P3_ROW_TOKENS, "p4_found": P4_FOUND,
+        "p1_found": P1_FOUND, "p1_sizes": P1_SIZES, "p5_tiling": P5_TILING, "p7_tokens": P7_TOKENS, "p7_fill": P7_FILL, "p3_token_budget": P3_TOKEN_BUDGET, "p3_row_tokens": P3_ROW_TOKENS, "p4_found": P4_FOUND,
         "p4_cutoffs": P4_CUTOFFS, "p5_found": P5_FOUND, "p7_found": P7_FOUND,
     }

@@ -173,3 +173,8 @@ def test_checks_after_decoding():
     assert not f("phone", "978-2-294-75123-0") and f("phone", "06 12 34 56 78") and not f("id_number", "00326") and f("id_number", "12345678Z")
     assert not f("address", "92 cantons") and f("address", "12 rue des lilas") and not f("name", "Lors de") and not f("name", "All'ingresso")
     assert not f("name", "Nutzen", "mit dem ") and f("name", "Brandt", "Frau ") and f("name", "Brandt", "Signé : ") and not f("name", "frágil")
+
+
+def test_training_repeats_itself():
+    one, two = personal.train.__wrapped__((), 1, 2), personal.train.__wrapped__((), 1, 2)
+    assert (one.weight == two.weight).all() and one.vocabulary == two.vocabulary
