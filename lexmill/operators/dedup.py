@@ -105,7 +105,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, similarity: float = SIMI
     still in different components, all pairs across components, since a link inside a component changes nothing. The second step is
     quadratic in a band's nodes that resemble each other without being similar."""
     folded = df.select(key, F.xxhash64(text).alias("_t"), F.length(text).alias("_l"), F.col(text).alias("_x"))
-    bounded_batches(df.sparkSession, rows=1024)
+    bounded_batches(df.sparkSession)
     node = folded.withColumn("s", signature(word_hashes(F.col("_x")))).groupBy("_t", "_l").agg(F.min(key).alias("node"), F.first("s").alias("s"))
     signed = cut_lineage(node.select("node", "s").where("s is not null"))
     texts = df.select(F.col(key).alias("node"), F.col(text).alias("text"))

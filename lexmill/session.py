@@ -45,10 +45,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded_batches(spark: SparkSession, rows: int = 4096, mb: int = 8) -> None:
-    """Bound Arrow batches by bytes as well as rows, so that long texts cannot fill a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{mb}m")
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes as well as rows, so that long texts cannot fill a Python worker. One bound for all operators, since the
+    settings hold for the session and a plan runs with those of the moment."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16384")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
 def spread(df: DataFrame) -> DataFrame:
