@@ -110,7 +110,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, similarity: float = SIMI
     signed = cut_lineage(node.select("node", "s").where("s is not null"))
     texts = df.select(F.col(key).alias("node"), F.col(text).alias("text"))
     close = lambda: F.least("n", "cn") >= similarity * F.greatest("n", "cn") - 1e-9  # noqa: E731  sets of other sizes cannot be similar
-    member = signed.select("node", F.element_at("s", 1).alias("n"), F.explode(F.slice("s", 2, BANDS)).alias("h")).repartition("h")
+    member = signed.select("node", F.element_at("s", 1).alias("n"), F.explode(F.slice("s", 2, BANDS)).alias("h"))
     centre = member.groupBy("h").agg(F.min_by(F.struct(F.col("node").alias("c"), F.col("n").alias("cn")), "node").alias("_c"), F.count(F.lit(1)).alias("m")).where("m > 1").select("h", "_c.*")
     tried = cut_lineage(member.join(centre, "h"))
     first = cut_lineage(tried.where((F.col("node") != F.col("c")) & close()).select("node", "c").distinct())

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.functions.rows import bounded_broadcast
+
 
 def _ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), F.nullif(b.cast("double"), F.lit(0.0))), F.lit(0.0))
@@ -113,6 +115,13 @@ def vocabulary_coverage(df: DataFrame, tokens: str, vocabulary: DataFrame) -> Da
     return v.agg(F.count("_s").alias("used"), (F.count(F.lit(1)) - F.count("_s")).alias("unused"), F.count(F.lit(1)).alias("size"), _ratio(F.count("_s"), F.count(F.lit(1))).alias("coverage"))
 
 
+def token_ids(df: DataFrame, key: str, tokens: str, vocabulary: DataFrame, known: str = "token", number: str = "token_id") -> DataFrame:
+    """key, position, token, token_id of each token of a list column; null ids for tokens that the vocabulary lacks. A token listed twice
+    has its least id. Null and empty lists give no rows."""
+    table = vocabulary.where(F.col(known).isNotNull()).groupBy(F.col(known).alias("token")).agg(F.min(number).alias("token_id"))
+    return df.select(key, F.posexplode(tokens).alias("position", "token")).join(bounded_broadcast(table), "token", "left").select(key, "position", "token", "token_id")
+
+
 def label_ids(df: DataFrame, label: str, *splits: DataFrame) -> DataFrame:
     """Distinct non-null labels of df and the other splits in order with ids from 0. The labels of a classifier are few; they are numbered
     in one task."""

@@ -24,7 +24,8 @@ def order_hash(key: str, seed: int = 42) -> Column:
 def _threshold_rank(df: DataFrame, strata: Sequence[str], key: str, quotas: DataFrame, seed: int) -> DataFrame:
     """The quota rows of lowest hash in each stratum. quotas: strata columns and _quota. Only rows up to the hash bucket in which the
     quota is reached are ranked."""
-    h = order_hash(key, seed)
+    # rows without key are told apart by their values, so that they don't share a bucket
+    h = F.when(F.col(key).isNull(), F.xxhash64(F.to_json(F.struct(*df.columns)), F.lit(seed))).otherwise(order_hash(key, seed))
     bucket = F.shiftrightunsigned(h.bitwiseXOR(F.lit(-(2**63))), 52)  # in the order of the signed hash
     keyed = df.withColumns({"_h": h, "_b": bucket})
     hist = keyed.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_n"))

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions import json as J
 from lexmill.functions.rows import latest, read
-from lexmill.functions.text import WORD_RE2, WS_RE2, first_words, label_key, url_prefixed, word_count, words
+from lexmill.functions.text import WORD_RE2, WS_RE2, first_words, label_key, regular_words, url_prefixed, word_count, words
 from lexmill.operators import builders, chunking, dedup, evaluate, filters, inference, model_output, projection, prompts, quality, sampling, stats
+from lexmill.session import shared_dir
+from lexmill.sources import readers, sinks
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -903,3 +906,146 @@ def judge_summary(spark, d):
 def augmented_count(spark, d):
     g = read(spark, d, "generate_output").where("synonyms is not null").select("row_id", "synonyms")
     return builders.augment_order(g, "synonyms", "row_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select doc_id, len(regexp_extract_all(text, '[\\p{L}\\p{M}\\p{N}_]+|[^\\p{L}\\p{M}\\p{N}_" + WS_RE2 + "]'))::int as n from documents where text is not null")
+def ner_token_count(spark, d):
+    return read(spark, d, "documents").where("text is not null").select("doc_id", F.size(regular_words(F.col("text"))).alias("n"))
+
+
+@query("select doc_id, w.i::int as position, w.token, v.token_id from (select doc_id, unnest(list_zip(range(0, len(t)), t)) as z, z[1] as i, z[2] as token from (select doc_id, regexp_extract_all(text, '" + WORD_RE2 + "') as t from documents)) w left join (select piece, min(token_id) as token_id from token_pieces group by piece) v on v.piece = w.token")
+def token_id_map(spark, d):
+    docs = read(spark, d, "documents").select("doc_id", words(F.col("text")).alias("tokens"))
+    return evaluate.token_ids(docs, "doc_id", "tokens", read(spark, d, "token_pieces"), "piece")
+
+
+@query(f"select doc_id, array_to_string(regexp_extract_all(text, '{WORD_RE2}')[1:2048], ' ') as prompt, len(regexp_extract_all(text, '{WORD_RE2}')[1:2048])::varchar as output from documents where text is not null")
+def generate_plugin(spark, d):
+    """Texts cut to half of a context of 4,096 tokens, and a generator that answers with their number of words."""
+    df = read(spark, d, "documents").where("text is not null").select("doc_id", inference.head_tokens("text", 4096 // 2).alias("prompt"))
+    return inference.generate(df, "prompt", lambda: lambda prompts_: [str(len(p.split())) for p in prompts_])
+
+
+@query("select row_id, 'm/a' as model, 0.7::double as temperature, 0.9::double as top_p, 512 as max_tokens, genre from rewrite_output")
+def generation_config(spark, d):
+    c = builders.model_config("m/a", 0.7, 0.9, 512).alias("c")
+    return read(spark, d, "rewrite_output").select("row_id", c, "genre").select("row_id", "c.*", "genre")
+
+
+@query("select doc_id, text from documents")
+def valid_text(spark, d):
+    return read(spark, d, "documents").select("doc_id", builders.valid_utf8(F.col("text")).alias("text"))
+
+
+@query()
+def language_kept(spark, d):
+    """Documents that the scorer finds to be French with a share of a half or more."""
+    return quality.language_filter(quality.identify(read(spark, d, "documents").select("doc_id", "text"))).select("doc_id", "language")
+
+
+@query()
+def shuffled_blocks(spark, d):
+    return read(spark, d, "generate_output").where("synonyms is not null").select("row_id", prompts.shuffled_block(F.col("synonyms"), F.col("row_id")).alias("block"))
+
+
+# sinks and sources: what was written comes back
+
+
+def _aside(spark) -> str:
+    return f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+
+
+_GENERATED = "select row_id, gen_name, term, synonyms, output from generate_output"
+
+
+def _generated(spark, d):
+    return read(spark, d, "generate_output").select("row_id", "gen_name", "term", "synonyms", "output")
+
+
+@query(_GENERATED)
+def roundtrip_jsonl(spark, d):
+    path = f"{_aside(spark)}.jsonl"
+    sinks.write_jsonl(_generated(spark, d), path)
+    return readers.scan(spark, path, _generated(spark, d).schema)
+
+
+@query(_GENERATED)
+def roundtrip_parquet_shards(spark, d):
+    path = _aside(spark)
+    sinks.write_shards(_generated(spark, d), path, 500)
+    return readers.scan(spark, path)
+
+
+@query("select subset, count(*) as n from (select 'a' as subset from generate_output union all select 'b' from rewrite_output) group by subset")
+def roundtrip_joined_paths(spark, d):
+    got = readers.scan_many(spark, f"{d}/generate_output.parquet+{d}/rewrite_output.parquet", tag=True)
+    return got.groupBy(F.when(F.col("subset").contains("generate"), "a").otherwise("b").alias("subset")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"select row_id, replace(lower({CLASS}), ' ', '_') as label_slug from mds_input where {CLASS} is not null and {CLASS} <> ''")
+def roundtrip_by_label(spark, d):
+    path = _aside(spark)
+    sinks.write_by_label(shards(spark, d).where(f"{CLASS} <> ''").select("row_id", CLASS), CLASS, path)
+    return spark.read.parquet(path).select("row_id", "label_slug")
+
+
+@query("select row_id, case when num_words >= 10 then null else 'short' end as reason from mds_input")
+def roundtrip_reasons(spark, d):
+    kept, dropped = _aside(spark), _aside(spark)
+    df = shards(spark, d).select("row_id", F.when(F.col("num_words") >= 10, F.lit(None)).otherwise(F.lit("short")).alias("reason"))
+    sinks.write_reasons(df, "reason", kept, dropped)
+    back = spark.read.schema("row_id long, reason string").json(dropped)
+    return spark.read.parquet(kept).select("row_id", F.lit(None).cast("string").alias("reason")).unionByName(back)
+
+
+@query("select row_id, name from mds_input")
+def roundtrip_batches(spark, d):
+    """Written in four batches, after a run that broke off behind the first."""
+    path, df = _aside(spark), shards(spark, d).select("row_id", "name")
+    seen = []
+
+    def once(part):
+        if seen:
+            raise RuntimeError("broken off")
+        seen.append(1)
+        return part
+
+    try:
+        sinks.write_batches(df, "row_id", 4, path, once)
+    except RuntimeError:
+        pass
+    if sinks.write_batches(df, "row_id", 4, path) != 3:
+        raise AssertionError("three batches were left")
+    return reduce(lambda a, b: a.unionByName(b), [spark.read.parquet(f"{path}/batch={b}") for b in range(4)]).select("row_id", "name")
+
+
+@query("select split, count(*) as n, sum(length(text))::bigint as chars from (select coalesce(text, '') as text, case when doc_id % 20 = 0 then 'validation' else 'train' end as split from documents) group by split")
+def roundtrip_training_shards(spark, d):
+    path = _aside(spark)
+    df = read(spark, d, "documents").select("text", F.when(F.col("doc_id") % 20 == 0, "validation").otherwise("train").alias("split"))
+    index = sinks.write_training_shards(df, path, rows=400)
+    back = spark.read.schema("text string, split string").json([f"{path}/split={s}/{f['file']}" for s, v in index.items() for f in v["shards"]])
+    back = back.withColumn("split", F.regexp_extract(F.input_file_name(), "split=([a-z]+)", 1))
+    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+
+
+@query("select name, parquet_idx, n_docs, n_words from (select coalesce(name, 'null') as name, parquet_idx, count(*) as n_docs, coalesce(sum(num_words), 0)::bigint as n_words from mds_input group by name, parquet_idx union all select coalesce(name, 'null'), -1, count(*), coalesce(sum(num_words), 0)::bigint from mds_input group by name union all select 'total', -1, count(*), coalesce(sum(num_words), 0)::bigint from mds_input)")
+def roundtrip_summary(spark, d):
+    path = _aside(spark)
+    named = shards(spark, d).withColumn("name", F.coalesce("name", F.lit("null")))
+    sinks.write_summary(stats.rollup_counts(named, "name", "parquet_idx", "num_words"), "name", "parquet_idx", path)
+    return spark.read.schema("name string, parquet_idx int, n_docs long, n_words long").json(path)
+
+
+@query("select doc_id::varchar as text from documents")
+def roundtrip_text(spark, d):
+    path = f"{_aside(spark)}.txt"
+    sinks.write_text(read(spark, d, "documents").select(F.col("doc_id").cast("string").alias("text")), path, shards=3)
+    return readers.scan(spark, path)
+
+
+@query("select line, text from (select doc_id, row_number() over (order by doc_id) - 1 as line, doc_id::varchar as text from documents where doc_id % 3 > 0) where line >= 5")
+def roundtrip_lines(spark, d):
+    path = f"{_aside(spark)}.txt"
+    sinks.write_text(read(spark, d, "documents").where("doc_id % 3 > 0").orderBy("doc_id").coalesce(1).select(F.concat(F.lit(" "), F.col("doc_id").cast("string")).alias("text")), path)
+    return readers.lines(spark, path, skip=5).select("line", "text")

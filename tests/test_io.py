@@ -58,3 +58,14 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     spark.range(5, 8).write.mode("append").parquet(src)
     run()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 8
+
+
+def test_first_deliveries_of_a_stream(spark, tmp_path):
+    src = str(tmp_path / "in")
+    rows = lambda *xs: spark.createDataFrame([(k, t) for k, t in xs], "k long, t string").selectExpr("k", "to_timestamp(t) as at")
+    run = lambda: files.process_new_files(spark, src, "k long, at timestamp", str(tmp_path / "out"), str(tmp_path / "cp"), lambda s: files.first_deliveries(s, "k", "at"))
+    rows((1, "2024-01-01"), (1, "2024-01-02"), (2, "2024-01-03")).write.parquet(src)
+    run()
+    rows((1, "2024-01-05"), (3, "2024-01-06")).write.mode("append").parquet(src)
+    run()
+    assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3]
