@@ -98,12 +98,31 @@ def components(label: DataFrame, links: DataFrame, rounds: int) -> DataFrame:
     raise RuntimeError("components did not converge")
 
 
+def rare_pairs(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(node, c) of all pairs of nodes in different clusters that may have this Jaccard similarity. Two such sets of runs share one of the
+    1 - similarity rarest parts of either (and one run more), whatever the order of runs, as the rest alone is too small; so only these runs,
+    rarest first among the nodes, bring texts together. nodes: node, n (runs), cluster."""
+    runs = texts.join(nodes, "node", "left_semi").select("node", F.explode(run_set(word_hashes(F.col("text")))).alias("r"))
+    runs = cut_lineage(runs)
+    counts = runs.groupBy("r").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    shared = runs.join(counts, "r").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("m", "r"))).alias("common"))  # a text's own runs
+    lone = F.col("n") - F.size("common")  # runs of no other node come first and bring nothing together
+    most = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1
+    prefix = nodes.join(shared, "node").withColumn("k", F.greatest(F.lit(0), most - lone).cast("int"))
+    keyed = prefix.where("k > 0").select("node", "n", "cluster", F.explode(F.slice("common", F.lit(1), F.col("k"))).alias("x")).select("node", "n", "cluster", "x.r")
+    several = keyed.groupBy("r").agg(F.min("cluster").alias("a"), F.max("cluster").alias("z")).where("a < z").select("r")
+    keyed = cut_lineage(keyed.join(several, "r", "left_semi"))
+    other = keyed.select(F.col("node").alias("c"), F.col("n").alias("cn"), F.col("cluster").alias("cc"), "r")
+    near = (F.least("n", "cn") >= similarity * F.greatest("n", "cn") - 1e-9) & (F.col("node") > F.col("c")) & (F.col("cluster") != F.col("cc"))
+    return keyed.join(other, "r").where(near).select("node", "c").distinct()
+
+
 def near_duplicates(df: DataFrame, key: str, text: str, similarity: float = SIMILARITY, rounds: int = 30) -> DataFrame:
     """key, cluster (the least key of its component) of every row with words. Exact copies are folded first, so a class of copies is one
     node. Nodes that share a MinHash band are candidates; a link is one whose sets of runs are similar, counted exactly. First every node
-    is tried with the least node of each of its bands, so that a band of near copies costs its rows once; then, in bands whose nodes are
-    still in different components, all pairs across components, since a link inside a component changes nothing. The second step is
-    quadratic in a band's nodes that resemble each other without being similar."""
+    is tried with the least node of each of its bands, so that a band of near copies costs its rows once. Nodes of bands that still hold
+    different components then go through rare_pairs, since a link inside a component changes nothing: texts that share boilerplate fill
+    whole bands without being similar, but no rare runs."""
     folded = df.select(key, F.xxhash64(text).alias("_t"), F.length(text).alias("_l"), F.col(text).alias("_x"))
     bounded_batches(df.sparkSession)
     node = folded.withColumn("s", signature(word_hashes(F.col("_x")))).groupBy("_t", "_l").agg(F.min(key).alias("node"), F.first("s").alias("s"))
@@ -118,9 +137,8 @@ def near_duplicates(df: DataFrame, key: str, text: str, similarity: float = SIMI
     label = components(signed.select("node", F.col("node").alias("cluster")), links, rounds)
     left = tried.select("node", "n", "h").join(label, "node")
     several = left.groupBy("h").agg(F.min("cluster").alias("a"), F.max("cluster").alias("z")).where("a < z").select("h")
-    left = cut_lineage(left.join(several, "h", "left_semi"))
-    other = left.select(F.col("node").alias("c"), F.col("n").alias("cn"), F.col("cluster").alias("cc"), "h")
-    across = left.join(other, "h").where((F.col("node") > F.col("c")) & (F.col("cluster") != F.col("cc")) & close()).select("node", "c").distinct()
+    left = cut_lineage(left.join(several, "h", "left_semi").select("node", "n", "cluster").distinct())
+    across = rare_pairs(left, texts, similarity)
     more = cut_lineage(similar(cut_lineage(across.join(first, ["node", "c"], "left_anti")), texts, similarity))
     if not more.isEmpty():
         label = components(label, links.unionByName(more), rounds)

@@ -13,6 +13,23 @@ from lexmill.functions import json
 # The entity labels.
 ENTITY_LABELS = ("disease", "drug", "body_part", "medical_procedure", "molecular_marker", "clinical_device", "vital_function", "living_beings")
 
+# What each entity label stands for.
+ENTITY_DESCRIPTIONS = {
+    "disease": "Pathological condition: disease, syndrome, infection, cancer, injury, symptom, clinical finding, mental disorder",
+    "drug": "Chemical substance for therapy: prescription medication, vaccine, therapeutic compound, drug class, contrast agent",
+    "body_part": "Anatomical structure: organ, tissue, bone, muscle, blood vessel, nerve, cell, body fluid, anatomical region",
+    "medical_procedure": "Clinical action with methodology: surgery, diagnostic test, medical examination, laboratory test, imaging procedure",
+    "molecular_marker": "Molecular entity or biochemical substance: gene, protein, enzyme, receptor, genetic variant, biochemical analyte",
+    "clinical_device": "Manufactured medical object: surgical tool, implant, prosthetic, diagnostic scanner, monitoring equipment",
+    "vital_function": "Physiological parameter name: heart rate, blood pressure, respiratory rate, temperature, oxygen saturation",
+    "living_beings": "Non-human organism in biomedical context: bacterium, virus, fungus, parasite, pathogen, model organism",
+}
+
+
+def describe_labels(label: Column) -> Column:
+    """The description of an entity label; null for others."""
+    return F.create_map(*[F.lit(x) for kv in ENTITY_DESCRIPTIONS.items() for x in kv])[label]
+
 
 def keep_columns(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     """The wanted columns that exist, in that order."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pyarrow as pa
@@ -47,10 +47,11 @@ def json_lines(spark: SparkSession, path: str) -> bool:
     return not head or bool(head[0][0])
 
 
-def scan_many(spark: SparkSession, paths: str, tag: bool = False) -> DataFrame:
-    """Paths joined by + or commas: UNION ALL by name with missing columns null; with tag, the path as column subset."""
+def scan_many(spark: SparkSession, paths: str, tag: bool = False, adapt: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Paths joined by + or commas: UNION ALL by name with missing columns null; with tag, the path as column subset. adapt turns the rows
+    of each path into the wanted ones first."""
     parts = [p.strip() for p in re.split(r"[+,]", paths) if p.strip()]
-    frames = [scan(spark, p).withColumn("subset", F.lit(p)) if tag else scan(spark, p) for p in parts]
+    frames = [f.withColumn("subset", F.lit(p)) if tag else f for p in parts for f in (adapt(scan(spark, p)),)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

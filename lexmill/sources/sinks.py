@@ -26,6 +26,11 @@ def write_shards(df: DataFrame, path: str, rows: int) -> None:
     df.write.mode("overwrite").option("maxRecordsPerFile", rows).parquet(path)
 
 
+def write_single(df: DataFrame, path: str) -> None:
+    """One Parquet file, written by one task; for results that are small."""
+    df.coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def slug(label):
     return F.replace(F.lower(label), F.lit(" "), F.lit("_"))
 

@@ -217,6 +217,16 @@ def test_lines_of_large_and_many_files(spark, tmp_path):
     assert [(r.line, r.text) for r in readers.lines(spark, str(tmp_path / "b.txt"), skip=1, limit=1).collect()] == [(2, "y")]
 
 
+def test_adapted_sources_and_descriptions(spark, tmp_path):
+    sinks.write_single(spark.range(3).selectExpr("cast(id as string) as body"), str(tmp_path / "a.parquet"))
+    sinks.write_single(spark.range(2).selectExpr("'t' as text"), str(tmp_path / "b.parquet"))
+    take = lambda df: df.withColumnRenamed("body", "text").select("text")
+    got = readers.scan_many(spark, f"{tmp_path}/a.parquet,{tmp_path}/b.parquet", adapt=take)
+    assert got.columns == ["text"] and got.count() == 5 and len(list((tmp_path / "a.parquet").glob("part*"))) == 1
+    df = spark.createDataFrame([("drug",), ("nope",), (None,)], "label string").select(projection.describe_labels(F.col("label")).alias("d"))
+    assert [bool(r.d) for r in df.collect()] == [True, False, False]
+
+
 def test_shards_are_written_once(spark, tmp_path):
     df = spark.createDataFrame([(f"text {i}" * 10, "train" if i % 10 else "validation") for i in range(100)], "text string, split string")
     path = str(tmp_path / "s")
