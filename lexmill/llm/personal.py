@@ -79,10 +79,10 @@ def coarse(word: str) -> str:
     if any(x.isdigit() for x in word):
         return "dx" if any(x.isalpha() for x in word) else "d-"
     s = shape(word)
-    return s if s in ("X", "XX", "Xx", "x", "xX") else "X-" if word[0].isupper() else "x-" if word[0].isalpha() else "-"
+    return s if s in ("X", "XX", "Xx", "x", "xX") else "X-" if word[0].isupper() else "x-" if word[0].isalpha() else "other"
 
 
-COARSE = ("", *_MARKS, *(f"d{n}" for n in (1, 2, 3, 4, 5, 6, 9)), "d2z", "@x", "dx", "d-", "X", "XX", "Xx", "x", "xX", "X-", "x-", "-", *(c + u for c in ("given", *CLASSES) for u in ("", "^")))
+COARSE = ("", *_MARKS, *(f"d{n}" for n in (1, 2, 3, 4, 5, 6, 9)), "d2z", "@x", "dx", "d-", "X", "XX", "Xx", "x", "xX", "X-", "x-", "other", *(c + u for c in ("given", *CLASSES) for u in ("", "^")))
 _PLACE = {c: i for i, c in enumerate(COARSE)}
 
 
