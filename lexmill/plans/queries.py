@@ -654,10 +654,11 @@ def cast_declared(spark, d):
 
 @query()
 def ner_align(spark, d):
-    """Token spans of the entities of each row in its text."""
+    """Token spans of the entities of each row in its original and rewritten text; a row without spans where there is none."""
     items = _items(lambda k, x: F.struct(F.lit(k).alias("label"), x.alias("entity")))
-    r = read(spark, d, "rewrite_output").where("text is not null").select("row_id", model_output.align_entities(F.col("text"), items).alias("a"))
-    return r.select("row_id", F.size("a.tokenized_text").alias("n_tokens"), F.explode("a.ner").alias("s")).select("row_id", "n_tokens", "s.*")
+    both = F.concat_ws("\n", "text", model_output.rewriting(F.col("output"))["text"])
+    r = read(spark, d, "rewrite_output").select("row_id", model_output.align_entities(both, items).alias("a"))
+    return r.select("row_id", F.size("a.tokenized_text").alias("n_tokens"), F.explode_outer("a.ner").alias("s")).select("row_id", "n_tokens", "s.*")
 
 
 @query("select row_id, translate(output, '’‘‛–—', '--') as text from extract_input")
