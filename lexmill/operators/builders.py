@@ -11,6 +11,7 @@ from lexmill.functions.text import squeeze
 from lexmill.operators.model_output import french_spacing
 from lexmill.operators.projection import ENTITY_LABELS
 from lexmill.operators.stats import with_medians
+from lexmill.session import cut_lineage
 
 
 def pair(a: str, b: str) -> Column:
@@ -115,7 +116,7 @@ def judge_summary(df: DataFrame, group: str, scores: Sequence[str]) -> DataFrame
 
 def paired_medians(df: DataFrame, cls: str, before: str, after: str) -> DataFrame:
     """Exact medians and counts of two columns per class; a row goes only if both are null."""
-    x = df.where(F.col(cls).isNotNull() & F.coalesce(F.col(before), F.col(after)).isNotNull())
+    x = cut_lineage(df.where(F.col(cls).isNotNull() & F.coalesce(F.col(before), F.col(after)).isNotNull()).select(cls, before, after))
     g = x.groupBy(cls).agg(F.count(before).alias("n_before"), F.count(after).alias("n_after"))
     return with_medians(g, x, [cls], {before: "median_before", after: "median_after"})
 

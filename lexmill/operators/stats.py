@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.text import word_count
 from lexmill.operators.ranks import quantiles, running, same
+from lexmill.session import cut_lineage
 
 # The density bins and summary quantiles.
 BINS = (0.0, 0.05, 0.1, 0.2, 0.3, 1.0)
@@ -20,7 +21,8 @@ def summary(df: DataFrame, columns: Sequence[str], shares: Sequence[float] = QUA
     """One row per column with any value: n, sum, mean, population std, min, max, exact quantiles and the share of positive values; nulls
     are dropped, absent columns skipped."""
     have = [c for c in columns if c in df.columns]
-    packed = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in have])).alias("p")).select("p.*").where("x is not null")
+    lean = cut_lineage(df.select(*have))  # numbers only, so that texts they are derived from are read once
+    packed = lean.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in have])).alias("p")).select("p.*").where("x is not null")
     facts = packed.groupBy("column").agg(F.count("x").alias("n"), F.sum("x").alias("sum"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"), F.avg((F.col("x") > 0).cast("double")).alias("share_positive"))
     out = facts.join(quantiles(packed, ["column"], "x", shares).select("column", "q"), "column")
     return out.select("column", "n", "sum", "mean", "std", "min", "max", *[F.col("q")[i].alias(f"q{round(p * 100):02d}") for i, p in enumerate(shares)], "share_positive")
@@ -36,6 +38,7 @@ def with_medians(groups: DataFrame, df: DataFrame, by: Sequence[str], values: di
 
 def by_class(df: DataFrame, cls: str, words: str, numerics: Sequence[str] = ()) -> DataFrame:
     """Documents, words, their shares in percent, mean and exact median of numerics, per class; null is a class of its own."""
+    df = cut_lineage(df.select(*dict.fromkeys([cls, words, *numerics])))  # numbers only, so that texts they are derived from are read once
     groups = df.groupBy(cls).agg(F.count(words).alias("n_docs"), F.sum(words).alias("n_words"), *[F.avg(c).alias(f"mean_{c}") for c in numerics])
     everything = Window.partitionBy()  # over one row a class
     share = lambda c: F.coalesce(F.try_divide(F.col(c) * 100.0, F.nullif(F.sum(c).over(everything), F.lit(0))), F.lit(0.0))
